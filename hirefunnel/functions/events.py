@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirefunnel.functions.timeuuid import timestamp_to_timeuuid, timeuuid_to_timestamp
+from hirefunnel.functions.timeuuid import is_timeuuid, time_of_timeuuid, timestamp_to_timeuuid
 from hirefunnel.schema import KINDS, TRACKING
 
 # What the four ids and the bid become when they are absent.
@@ -14,10 +14,13 @@ BID_FILL = {"bid": 0}
 
 
 def with_event_time(events: DataFrame, uuid_col: str = "create_time") -> DataFrame:
-    """Take `ts` from the time-UUID; rows without a readable UUID are dropped."""
-    return events.withColumn("ts", timeuuid_to_timestamp(F.col(uuid_col))).where(
-        F.col("ts").isNotNull()
-    )
+    """Take `ts` from the time-UUID; rows without a readable UUID are dropped.
+
+    Testing the text first means that each UUID is decoded once, not once for the test and
+    once for the value.
+    """
+    uuid = F.col(uuid_col)
+    return events.where(is_timeuuid(uuid)).withColumn("ts", time_of_timeuuid(uuid))
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:

@@ -11,12 +11,24 @@ _EPOCH_TICKS = 122_192_928_000_000_000
 _PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-1[0-9a-fA-F]{3}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
+def is_timeuuid(uuid: Column) -> Column:
+    return F.coalesce(uuid.rlike(_PATTERN), F.lit(False))
+
+
+def time_of_timeuuid(uuid: Column) -> Column:
+    """Time of a text that is known to be a version-1 UUID, microsecond precision."""
+    ticks = F.conv(
+        F.concat(F.substring(uuid, 16, 3), F.substring(uuid, 10, 4), F.substring(uuid, 1, 8)),
+        16,
+        10,
+    ).cast("bigint")
+    micros = F.call_function("div", ticks, F.lit(10)) - F.lit(_EPOCH_MICROS)
+    return F.timestamp_micros(micros)
+
+
 def timeuuid_to_timestamp(uuid: Column) -> Column:
-    """Time of a version-1 UUID, microsecond precision; NULL for NULL or malformed text."""
-    ticks = F.concat(F.substring(uuid, 16, 3), F.substring(uuid, 10, 4), F.substring(uuid, 1, 8))
-    whole = F.conv(ticks, 16, 10).cast("bigint")
-    micros = F.call_function("div", whole, F.lit(10)) - F.lit(_EPOCH_MICROS)
-    return F.when(uuid.rlike(_PATTERN), F.timestamp_micros(micros))
+    """Time of a version-1 UUID; NULL for NULL or malformed text."""
+    return F.when(is_timeuuid(uuid), time_of_timeuuid(uuid))
 
 
 def timeuuid_to_text(uuid: Column) -> Column:

@@ -18,6 +18,11 @@ def high_water_mark(df: DataFrame, column: str = "ts", default: str = EMPTY_MARK
     return df.agg(F.coalesce(F.max(column), F.lit(default).cast(kind)).alias("mark"))
 
 
+def recent_mark(minutes: int = 1) -> Column:
+    """Where a capture without a stored mark begins: a little before now."""
+    return F.current_timestamp() - F.expr(f"INTERVAL {minutes} MINUTE")
+
+
 def has_new_data(source_mark: DataFrame, sink_mark: DataFrame) -> DataFrame:
     """One row with both marks and whether the source is ahead of the sink."""
     marks = source_mark.select(

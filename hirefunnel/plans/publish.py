@@ -9,6 +9,10 @@ touched dates is written to a second one, and that content replaces the dates in
 (dynamic partition overwrite). Once step two is recorded the run is decided: a repeat of it,
 or the next run after a driver was lost, publishes the recorded content again instead of
 merging a second time. A failure raises; nothing is swallowed.
+
+Readers of the table see each date either before or after its replacement, but may meet the
+moment in which files change; where readers must never retry, a table format with
+transactions takes the place of the last step.
 """
 
 from __future__ import annotations
@@ -39,16 +43,17 @@ def upsert(rows: DataFrame, path: str, source: str, run_id: str, how: str = "rep
     """
     spark = rows.sparkSession
     staging = f"{path}/_staging/{source}"
-    staged = _recorded(spark, f"{staging}/staged")
-    if staged is not None and (
-        staged == run_id or staged != _recorded(spark, f"{staging}/published")
-    ):
-        _publish(spark, staging, path, staged)
-    if staged == run_id:
-        return
+    decided = _recorded(spark, f"{staging}/decided")
+    if decided is not None and decided != _recorded(spark, f"{staging}/published"):
+        _publish(spark, staging, path, decided)
 
+    # Written even when the run is a repeat: a streaming state store moves on only if its
+    # batch is executed.
     rows = check_sink_schema(rows).withColumn("sources", F.lit(source))
     rows.write.mode("overwrite").parquet(f"{staging}/rows")
+    if decided == run_id:
+        return
+
     fresh = read_fact(spark, f"{staging}/rows")
     # One value per calendar day: the partitions that the run touches.
     dates = [r.dates for r in fresh.select("dates").distinct().collect()]
@@ -59,7 +64,7 @@ def upsert(rows: DataFrame, path: str, source: str, run_id: str, how: str = "rep
         touched = touched | F.col("dates").isNull()
     stored = read_fact(spark, path).where((F.col("sources") == source) & touched)
     _write(_COMBINE[how](stored, fresh), f"{staging}/merged", "overwrite")
-    _record(spark, f"{staging}/staged", run_id)
+    _record(spark, f"{staging}/decided", run_id)
     _publish(spark, staging, path, run_id)
 
 

@@ -25,6 +25,7 @@ from hirefunnel.operators.metrics import hourly_metrics
 from hirefunnel.plans.jobs import enriched_metrics
 from hirefunnel.plans.publish import upsert
 from hirefunnel.schema import EVENT_KEYS, STREAM
+from hirefunnel.workspace import ROCKSDB, STATE_STORE, setting
 
 # Fixed value: how often the stream looks for new messages.
 TRIGGER = {"processingTime": "30 seconds"}
@@ -75,7 +76,10 @@ def start_running_totals(
         rows = attach(batch, prepare_dimension(job), *_columns(key_source))
         upsert(to_fact(rows, STREAM, updated_at), table, STREAM, f"{checkpoint}#{epoch}")
 
-    return _start(totals, sink, checkpoint, "update", trigger, name)
+    # State in RocksDB lives on disk with a cache, not on the executors' heap. A query
+    # keeps the setting it was started with.
+    with setting(messages.sparkSession, STATE_STORE, ROCKSDB):
+        return _start(totals, sink, checkpoint, "update", trigger, name)
 
 
 def start_deltas(

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs expect. The shuffle starts wide and adaptive execution narrows
-# it to the size that really arrives, so the same value serves small and large input.
-# Streaming state sits in RocksDB, off the JVM heap.
+# Settings the jobs expect. The time zone decides which hour an event belongs to; adaptive
+# execution sizes shuffles by what arrives and splits hot partitions.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
 }
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -27,6 +27,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the time of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder the cluster names in spark.checkpoint.dir.
 

@@ -1,0 +1,224 @@
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from builders import event, events, jobs
+from hirefunnel import fixtures as fx
+from hirefunnel.functions import envelope
+from hirefunnel.functions import events as ev
+from hirefunnel.functions.timeuuid import timestamp_to_timeuuid, timeuuid_to_timestamp
+from hirefunnel.operators import enrich, metrics, serving
+from hirefunnel.schema import KINDS, TRACKING
+
+SF = "/root/testdata/sf0.001"
+
+
+def hourly(df, **options):
+    return [r.asDict() for r in metrics.hourly_metrics(df, **options).orderBy("dates", "hours").collect()]
+
+
+def test_hour_edge(spark):
+    rows = hourly(events(spark, event("2024-01-01 10:59:59.999"), event("2024-01-01 11:00:00")))
+    assert [r["hours"] for r in rows] == [10, 11]
+
+
+def test_null_bid(spark):
+    (row,) = hourly(events(spark, event(bid=None)))
+    assert (row["clicks"], row["spend_hour"], row["bid_set"]) == (1, 0.0, None)
+
+
+def test_no_click(spark):
+    (row,) = hourly(events(spark, event(kind="conversion")))
+    assert (row["conversion"], row["spend_hour"], row["bid_set"]) == (1, 0.0, None)
+
+
+def test_unknown_kind(spark):
+    df = events(spark, event(kind="view"))
+    (row,) = hourly(df)
+    assert [row[c] for c in ("clicks", "conversion", "qualified_application")] == [0, 0, 0]
+    assert hourly(df, known_only=True) == []
+
+
+def test_average_tie_rounds_half_up(spark):
+    (row,) = hourly(events(spark, event(bid=34.78), event(bid=34.79)))
+    assert row["bid_set"] == 34.79
+    (row,) = hourly(events(spark, event(bid=-34.78), event(bid=-34.79)))
+    assert (row["bid_set"], row["spend_hour"]) == (-34.79, -69.57)
+
+
+def test_bids_finer_than_a_cent_are_added_before_rounding(spark):
+    (row,) = hourly(events(spark, *[event(bid=0.004) for _ in range(3)]))
+    assert row["spend_hour"] == 0.01
+
+
+def test_bid_that_is_no_amount_counts_as_missing(spark):
+    df = events(spark, event(bid=float("nan")), event(bid=float("inf")), event(bid=2.0))
+    (row,) = hourly(df)
+    assert (row["clicks"], row["spend_hour"], row["bid_set"]) == (3, 2.0, 2.0)
+
+
+def test_null_keys_form_one_group(spark):
+    df = events(spark, event(publisher_id=None, job_id=None), event(publisher_id=None, job_id=None))
+    (row,) = hourly(df)
+    assert row["clicks"] == 2
+
+
+def test_coarser_keys(spark):
+    df = events(spark, event(group_id="a"), event(group_id="b"))
+    (row,) = hourly(df, keys=["job_id"])
+    assert row["clicks"] == 2
+
+
+def test_null_key_full_join_gives_one_row(spark):
+    df = events(spark, event(group_id=None), event(group_id=None, kind="qualified"))
+    by_kind = [metrics.kind_by_hour(df, kind, fill=False) for kind in KINDS]
+    (row,) = metrics.join_kinds(*by_kind).collect()
+    assert (row.clicks, row.qualified, row.conversions) == (1, 1, None)
+    (row,) = metrics.join_kinds(*by_kind, fill=True).collect()
+    assert row.conversions == 0
+
+
+def test_join_of_kinds_equals_one_pass(spark):
+    df = fx.tracking(spark, SF)
+    for fill_ids in (True, False):
+        for fill in (True, False):
+            by_kind = [metrics.kind_by_hour(df, kind, fill_ids) for kind in KINDS]
+            joined = metrics.join_kinds(*by_kind, fill=fill)
+            single = metrics.sparse_metrics(df, fill_ids, fill).select(joined.columns)
+            assert joined.exceptAll(single).isEmpty() and single.exceptAll(joined).isEmpty()
+
+
+def test_counts_add_up_to_known_events(spark):
+    df = fx.tracking(spark, SF)
+    total = metrics.hourly_metrics(df).agg(
+        F.sum(F.expr("clicks + conversion + qualified_application + disqualified_application"))
+    )
+    assert total.first()[0] == ev.known_only(df).count()
+
+
+def test_fill_of_text_ids(spark):
+    row = ev.fill_keys(events(spark, event(group_id=None, job_id=None))).first()
+    assert (row.group_id, row.job_id) == ("0", 0)
+
+
+def test_missing_ids_can_be_dropped(spark):
+    df = events(spark, event(job_id=None), event(ts="bad"), event())
+    assert ev.require(df, "ts", "job_id").count() == 1
+
+
+# --- time-UUIDs ----------------------------------------------------------------------
+
+def test_timeuuid_agrees_with_the_standard_library(spark):
+    texts = [str(uuid.uuid1()) for _ in range(200)] + ["B" + str(uuid.uuid1())[1:].upper()]
+    df = spark.createDataFrame([(t,) for t in texts], "u string")
+    got = {
+        r.u: r.t
+        for r in df.select("u", F.unix_micros(timeuuid_to_timestamp(F.col("u"))).alias("t")).collect()
+    }
+    assert got == {t: uuid.UUID(t).time // 10 - 12_219_292_800_000_000 for t in texts}
+
+
+@pytest.mark.parametrize("text", [None, "zzz", "", str(uuid.uuid4()), str(uuid.uuid1())[:-1] + "g"])
+def test_unreadable_timeuuid_is_null(spark, text):
+    df = spark.createDataFrame([(text,)], "u string")
+    assert df.select(timeuuid_to_timestamp(F.col("u")).alias("t")).first().t is None
+
+
+def test_event_time_drops_unreadable_uuids(spark):
+    good = timestamp_to_timeuuid(F.lit("2024-05-06 07:08:09.123456").cast("timestamp"))
+    df = events(spark, event(), event(), event()).limit(1).withColumn("create_time", good)
+    df = df.unionByName(events(spark, event(create_time="zzz"), event()))
+    (row,) = ev.with_event_time(df).select(F.col("ts").cast("string").alias("t")).collect()
+    assert row.t == "2024-05-06 07:08:09.123456"
+
+
+# --- messages ------------------------------------------------------------------------
+
+def parse(spark, *values):
+    return envelope.parse_envelope(spark.createDataFrame([(v,) for v in values], "value string"))
+
+
+def test_bad_messages_give_nulls(spark):
+    good, bad_json, bad_ts, bad_bid, text_id = parse(
+        spark,
+        '{"job_id": 7, "ts": "2024-01-01 00:00:01", "bid": "1.5", "custom_track": "click"}',
+        "oops",
+        '{"job_id": 7, "ts": "bad"}',
+        '{"job_id": 7, "bid": "x"}',
+        '{"job_id": "7", "custom_track": "click"}',
+    ).collect()
+    assert (good.job_id, good.bid, good.ts.second) == (7, 1.5, 1)
+    assert set(bad_json.asDict().values()) == {None}
+    assert (bad_ts.job_id, bad_ts.ts) == (7, None)
+    assert (bad_bid.job_id, bad_bid.bid) == (7, None)
+    assert text_id.job_id is None
+
+
+def test_number_as_text_bid_is_read(spark):
+    assert parse(spark, '{"bid": 1}').first().bid == 1.0
+
+
+def test_event_from_action(spark):
+    df = spark.createDataFrame([(5, "click"), (6, "conversion")], "job_id int, action string")
+    rows = ev.from_action(df)
+    assert rows.schema == TRACKING or rows.columns == TRACKING.fieldNames()
+    click, other = rows.orderBy("job_id").collect()
+    assert (click.bid, other.bid, click.publisher_id) == (1.0, 0.0, None)
+    near = timeuuid_to_timestamp(F.col("create_time")) == F.col("ts")
+    assert rows.where(near).count() == 2
+
+
+# --- dimension -----------------------------------------------------------------------
+
+def test_job_without_dimension_row_is_kept(spark):
+    dim = enrich.prepare_dimension(jobs(spark, (1, "x", "c", "g")))
+    df = events(spark, event(job_id=1), event(job_id=2), event(job_id=None))
+    rows = enrich.attach(metrics.hourly_metrics(df), dim, "company_id").collect()
+    assert {r.job_id: r.company_id for r in rows} == {1: "x", 2: None, None: None}
+    assert enrich.unmatched(df, dim).count() == 2
+
+
+def test_repeated_dimension_key_is_refused(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        enrich.prepare_dimension(jobs(spark, (1, "x", "c", "g"), (1, "y", "c", "g")))
+
+
+def test_dimension_keys_early_and_late(spark):
+    df, dim = fx.tracking(spark, SF), fx.dimension(spark, SF)
+    late = enrich.hourly_metrics_of_dimension(df, dim)
+    joined = enrich.attach(df, dim, "campaign_id", "group_id", "company_id")
+    early = metrics.hourly_metrics(
+        joined, keys=["job_id", "publisher_id", "campaign_id", "group_id", "company_id"]
+    ).select(late.columns)
+    assert late.exceptAll(early).isEmpty() and early.exceptAll(late).isEmpty()
+
+
+def test_large_dimension_is_not_broadcast(spark):
+    dim = jobs(spark, *[(i, "x" * 50, "c", "g") for i in range(100)])
+    df = metrics.hourly_metrics(fx.tracking(spark, SF))
+
+    def plan(prepared):
+        joined = enrich.attach(df, prepared, "company_id")
+        return joined._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "broadcast" in plan(enrich.prepare_dimension(dim))
+    assert "broadcast" not in plan(enrich.prepare_dimension(dim, broadcast_bytes=1000))
+
+
+def test_ids_as_int(spark):
+    df = jobs(spark, (1, "x", "c", "7"), (2, "x", "c", None))
+    assert [tuple(r) for r in ev.ids_as_int(df, "group_id").collect()] == [(7,)]
+
+
+# --- serving -------------------------------------------------------------------------
+
+def test_funnel_without_clicks(spark):
+    df = spark.createDataFrame(
+        [(1, 0, 3, 1), (2, 3, 1, None)],
+        "job_id int, clicks long, conversion long, qualified_application long",
+    )
+    rows = serving.funnel(df).orderBy("job_id", "step").collect()
+    assert [r.percent_initial for r in rows] == [None, None, None, 100.0, 33.33, 0.0]
+    assert [r.stage for r in rows[:3]] == ["Views", "Applications", "Qualified"]
+    assert serving.grand_total(df).first().total == 7
