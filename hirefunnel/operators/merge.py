@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirefunnel.operators.metrics import half_up
@@ -36,23 +36,23 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     )
 
 
-def overlay(base: DataFrame, top: DataFrame, keys: list[str]) -> DataFrame:
-    """All rows of `top`, and those rows of `base` whose key `top` does not have.
+def untouched(fact: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of `fact` whose key is not among `rows`.
 
-    A small `top` is sent to the rows of `base`; otherwise both are shuffled once by key.
+    Few `rows` are sent to the fact's partitions; otherwise both are shuffled once by key.
     """
-    kept = base.alias("b").join(
-        top.select(*keys).alias("t"), same_key("b", "t", keys), "left_anti"
+    return fact.alias("f").join(
+        rows.select(*MERGE_KEYS).alias("r"), same_key("f", "r", MERGE_KEYS), "left_anti"
     )
-    return kept.unionByName(top)
 
 
 def replace(fact: DataFrame, rows: DataFrame) -> DataFrame:
     """Insert `rows`; where a key is stored already the new row takes its place.
 
-    Takes full totals: repeating the merge changes nothing.
+    Takes full totals: repeating the merge changes nothing. `rows` is read twice, so it
+    should be a stored table rather than a long computation.
     """
-    return overlay(fact, rows, MERGE_KEYS)
+    return untouched(fact, rows).unionByName(rows)
 
 
 def accumulate(fact: DataFrame, rows: DataFrame) -> DataFrame:
@@ -84,8 +84,15 @@ def union_sources(*facts: DataFrame) -> DataFrame:
 def corrected_view(fact: DataFrame, precedence: list[str]) -> DataFrame:
     """For each business key the rows of the best writer that has it.
 
-    `precedence` lists the writers, best first. The fact table is partitioned by writer,
-    so each step reads that writer's partitions only.
+    `precedence` lists the writers, best first. One scan and one shuffle by key; a key has
+    at most a few rows per writer, so no partition of the window can grow large.
     """
-    of = [fact.where(F.col("sources") == source) for source in reversed(precedence)]
-    return reduce(lambda base, top: overlay(base, top, FACT_KEYS), of)
+    rank = F.array_position(F.lit(precedence), F.col("sources"))
+    best = F.min("_rank").over(Window.partitionBy(*FACT_KEYS))
+    return (
+        fact.where(F.col("sources").isin(precedence))
+        .withColumn("_rank", rank)
+        .withColumn("_best", best)
+        .where(F.col("_rank") == F.col("_best"))
+        .drop("_rank", "_best")
+    )

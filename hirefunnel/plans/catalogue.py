@@ -20,6 +20,13 @@ LOOKUP_JOB = 2
 LOOKBACK = "2 hours"
 
 
+def _stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Fact rows written and read back, as a job stages them: computed once, used twice."""
+    path = scratch(spark, name)
+    rows.write.parquet(path)
+    return read_fact(spark, path)
+
+
 # --- scans ---------------------------------------------------------------------------
 
 def event_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,9 +153,10 @@ def incremental_recompute(spark: SparkSession, sf: str) -> DataFrame:
     changed = incremental.touched_hours(
         fx.tracking(spark, sf), _sink_mark(spark, sf), lookback=LOOKBACK
     )
+    rows = merge.to_fact(enriched_metrics(changed, dim), INCREMENTAL, fx.stamp(fx.BATCH_STAMP))
     return merge.replace(
         merge.to_fact(stored, INCREMENTAL, fx.stamp(fx.STREAM_STAMP)),
-        merge.to_fact(enriched_metrics(changed, dim), INCREMENTAL, fx.stamp(fx.BATCH_STAMP)),
+        _stored(spark, rows, "changed"),
     )
 
 
@@ -162,7 +170,7 @@ def data_time_stamp(spark: SparkSession, sf: str) -> DataFrame:
 def merge_replace(spark: SparkSession, sf: str) -> DataFrame:
     dim = fx.dimension(spark, sf)
     stored = fx.lagging_fact(spark, sf, dim).withColumn("sources", F.lit(BATCH))
-    return merge.replace(stored, fx.batch_fact(spark, sf, dim))
+    return merge.replace(stored, _stored(spark, fx.batch_fact(spark, sf, dim), "rows"))
 
 
 def merge_accumulate(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,11 +4,11 @@ The table is parquet, partitioned by writer (`sources`) and date. A writer only
 touches its own partitions, so two writers never overwrite each other, and a run rewrites
 the dates it has rows for and no others.
 
-A run has three steps: its rows are written to a staging folder, the merged content of the
-touched dates is written to a second one, and that content replaces the dates in the table
-(dynamic partition overwrite). Once step two is recorded the run is decided: a repeat of it,
-or the next run after a driver was lost, publishes the recorded content again instead of
-merging a second time. A failure raises; nothing is swallowed.
+A run stages its own rows, then the stored content that is to stay beside them, and then
+replaces the touched dates by both (dynamic partition overwrite). Once the two are staged
+and recorded the run is decided: a repeat of it, or the next run after a driver was lost,
+publishes the staged content again instead of merging a second time. A failure raises;
+nothing is swallowed.
 
 Readers of the table see each date either before or after its replacement, but may meet the
 moment in which files change; where readers must never retry, a table format with
@@ -18,7 +18,7 @@ transactions takes the place of the last step.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,12 +27,12 @@ from hirefunnel.schema import FACT, check_sink_schema
 from hirefunnel.sources.tables import read_fact
 
 _LAYOUT = ["sources", "dates"]
-_COMBINE = {"replace": merge.replace, "accumulate": merge.accumulate}
+_RECORD = "run_id string, how string"
 
 
 def append(rows: DataFrame, path: str, schema: StructType = FACT) -> None:
     """Add rows without looking at what is stored. Running twice stores them twice."""
-    _write(check_sink_schema(rows, schema), path, "append")
+    _laid_out(check_sink_schema(rows, schema)).mode("append").parquet(path)
 
 
 def upsert(rows: DataFrame, path: str, source: str, run_id: str, how: str = "replace") -> None:
@@ -44,14 +44,14 @@ def upsert(rows: DataFrame, path: str, source: str, run_id: str, how: str = "rep
     spark = rows.sparkSession
     staging = f"{path}/_staging/{source}"
     decided = _recorded(spark, f"{staging}/decided")
-    if decided is not None and decided != _recorded(spark, f"{staging}/published"):
+    if decided and decided != _recorded(spark, f"{staging}/published"):
         _publish(spark, staging, path, decided)
 
     # Written even when the run is a repeat: a streaming state store moves on only if its
     # batch is executed.
     rows = check_sink_schema(rows).withColumn("sources", F.lit(source))
     rows.write.mode("overwrite").parquet(f"{staging}/rows")
-    if decided == run_id:
+    if decided and decided.run_id == run_id:
         return
 
     fresh = read_fact(spark, f"{staging}/rows")
@@ -63,36 +63,37 @@ def upsert(rows: DataFrame, path: str, source: str, run_id: str, how: str = "rep
     if None in dates:
         touched = touched | F.col("dates").isNull()
     stored = read_fact(spark, path).where((F.col("sources") == source) & touched)
-    _write(_COMBINE[how](stored, fresh), f"{staging}/merged", "overwrite")
-    _record(spark, f"{staging}/decided", run_id)
-    _publish(spark, staging, path, run_id)
+    combine = {"replace": merge.untouched, "accumulate": merge.accumulate}[how]
+    combine(stored, fresh).write.mode("overwrite").parquet(f"{staging}/stored")
+    this = Row(run_id=run_id, how=how)
+    _record(spark, f"{staging}/decided", this)
+    _publish(spark, staging, path, this)
 
 
-def _publish(spark: SparkSession, staging: str, path: str, run_id: str) -> None:
-    merged = read_fact(spark, f"{staging}/merged")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *_LAYOUT
-    ).parquet(path)
-    _record(spark, f"{staging}/published", run_id)
+def _publish(spark: SparkSession, staging: str, path: str, run: Row) -> None:
+    content = read_fact(spark, f"{staging}/stored")
+    if run.how == "replace":
+        content = content.unionByName(read_fact(spark, f"{staging}/rows"))
+    _laid_out(content).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _record(spark, f"{staging}/published", run)
 
 
-def _write(rows: DataFrame, path: str, mode: str) -> None:
+def _laid_out(rows: DataFrame) -> DataFrameWriter:
     # Files of a useful size per date: small dates share a task, a large one gets several.
     # Sorting by job lets a lookup of one job skip most row groups.
-    rows.hint("rebalance", *_LAYOUT).sortWithinPartitions(*_LAYOUT, "job_id", "hours").write.mode(
-        mode
-    ).partitionBy(*_LAYOUT).parquet(path)
+    rows = rows.hint("rebalance", *_LAYOUT).sortWithinPartitions(*_LAYOUT, "job_id", "hours")
+    return rows.write.partitionBy(*_LAYOUT)
 
 
-def _record(spark: SparkSession, path: str, run_id: str) -> None:
-    spark.range(1).select(F.lit(run_id).alias("run_id")).coalesce(1).write.mode("overwrite").json(path)
+def _record(spark: SparkSession, path: str, run: Row) -> None:
+    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in run.asDict().items()])
+    row.coalesce(1).write.mode("overwrite").json(path)
 
 
-def _recorded(spark: SparkSession, path: str) -> str | None:
+def _recorded(spark: SparkSession, path: str) -> Row | None:
     try:
-        row = spark.read.schema("run_id string").json(path).first()
+        return spark.read.schema(_RECORD).json(path).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return row.run_id if row else None

@@ -157,7 +157,7 @@ def test_hot_date_gets_several_files(spark, folder):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = (
-        spark.read.parquet(f"{folder}/t/_staging/{BATCH}/merged")
+        spark.read.parquet(f"{folder}/t")
         .select("dates", F.input_file_name().alias("f"))
         .distinct()
         .groupBy("dates")
