@@ -12,6 +12,7 @@ from hirefunnel.operators.enrich import attach, hourly_metrics_of_dimension, pre
 from hirefunnel.operators.incremental import (
     has_new_data,
     high_water_mark,
+    newer_than,
     touched_hours,
 )
 from hirefunnel.operators.merge import to_fact
@@ -65,11 +66,12 @@ def run_incremental(
     The mark is the latest event time of the previous run. It is stored in the rows that
     run wrote, as their `updated_at`.
     """
-    spark = tracking.sparkSession
-    stored = read_fact(spark, table).where(F.col("sources") == INCREMENTAL)
-    gate = has_new_data(
-        high_water_mark(tracking, "ts"), high_water_mark(stored, "updated_at")
-    )
+    stored = read_fact(tracking.sparkSession, table).where(F.col("sources") == INCREMENTAL)
+    sink = high_water_mark(stored, "updated_at")
+    # Only events past the stored mark are searched for the new one, so the reader can skip
+    # everything older.
+    news = newer_than(tracking, sink.scalar(), "ts", inclusive=False, day_column=day_column)
+    gate = has_new_data(high_water_mark(news, "ts"), sink)
     # As text, which means the session's time zone on the way out and on the way in.
     now = gate.select(*[F.col(c).cast("string").alias(c) for c in gate.columns]).first()
     if now.has_new != "true":
