@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from builders import event, events, jobs, stored
 from hirefunnel import fixtures as fx
 from hirefunnel.functions import envelope
+from hirefunnel.operators import metrics
 from hirefunnel.plans import publish
 from hirefunnel.schema import STREAM
 from hirefunnel.sources.streams import read_files
@@ -64,7 +65,7 @@ def test_totals_over_several_triggers(spark, topic, dim, folder, start):
     assert counts(spark, folder) == {(10, 1): 5, (11, None): 1}
     topic.send(event("2024-01-01 11:00:00", publisher_id=None), event("bad"))
     run(start, topic, dim, folder)
-    assert counts(spark, folder) == {(10, 1): 5, (11, None): 2}
+    assert counts(spark, folder) == {(10, 1): 5, (11, None): 2, (None, 1): 1}
     (company,) = {r.company_id for r in read_fact(spark, f"{folder}/t").collect()}
     assert company == "x"
 
@@ -132,6 +133,13 @@ def test_failure_in_the_sink_stops_the_query(spark, topic, dim, folder):
     assert read_fact(spark, f"{folder}/t").isEmpty()
 
 
+def test_messages_are_parsed_once(spark, topic):
+    topic.send(event())
+    events_ = envelope.parse_envelope(spark.read.parquet(topic.path))
+    plan = metrics.hourly_metrics(events_)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def test_named_query(spark, topic, dim, folder):
     topic.send(event())
     query = run(streaming.start_deltas, topic, dim, folder, name="funnel")
