@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from hirefunnel.llm.common import BLANKS, each_batch, stored, utf8
+from hirefunnel.llm.common import BLANKS, STOP_WORDS, each_batch, stored, utf8
 
 MEASURES = (
     "n_words",
@@ -43,13 +43,6 @@ _BLANK = BLANKS.encode()
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
-# Frequent function words of the four languages.
-STOP_WORDS = frozenset(
-    """the of and to a in is that it was for on are with as be at by this from or an have not
-    de la le et les des en un une du que est pour qui dans par sur pas au avec
-    der die und das den von zu mit ist des im für auf dem nicht ein eine als auch es sich
-    el los del y se las por con no su para al lo como más o este""".split()
-)
 _STOP = frozenset(w.encode() for w in STOP_WORDS)
 
 
