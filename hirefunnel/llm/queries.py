@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hirefunnel.llm import bpe, exact_dedup, html_text, mixing, quality, sharding, simhash, toxicity
+from hirefunnel.llm import (
+    automaton_dedup,
+    bpe,
+    exact_dedup,
+    html_text,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+)
 from hirefunnel.llm.common import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +28,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, sf_dir))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.resharded(documents(spark, sf_dir))
 
@@ -33,6 +48,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton_dedup.digests(documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.scored(documents(spark, sf_dir), labels)
@@ -48,10 +67,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_sharding": op3_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_mixing": op10_mixing,
