@@ -31,6 +31,7 @@ from hirefunnel.llm.common import partitions, stored, texts_of
 #: Lengths of the prefixes that texts are dealt out by.
 LEVELS = (8, 32, 128, 512, 2048, 8192)
 NULL_ID = -(2**63)
+BROADCAST_BYTES = 16 << 20
 
 
 def radix_groups(texts: list[bytes]) -> list[list[int]]:
@@ -126,16 +127,18 @@ def _dealt(groups: DataFrame, limit: int) -> DataFrame:
     """Folded texts, dealt out by prefixes that hold at most `limit` bytes or one text."""
     total = groups.agg(F.sum(F.length("body"))).first()[0] or 0
     dealt = groups.withColumn("prefix", F.substring("body", 1, LEVELS[0]))
-    for depth in LEVELS[1:]:
-        held = dealt.groupBy("prefix").agg(
-            F.sum(F.length("body")).alias("bytes"), F.count("*").alias("n")
-        )
+    for depth, longer in zip(LEVELS, LEVELS[1:], strict=False):
+        start = F.substring("body", 1, depth).alias("prefix")
+        held = groups.groupBy(start).agg(F.sum(F.length("body")).alias("bytes"), F.count("*").alias("n"))
         heavy = held.where((F.col("bytes") > limit) & (F.col("n") > 1))
-        heavy = heavy.select("prefix", F.lit(True).alias("heavy"))
-        if heavy.isEmpty():
+        heavy = stored(heavy.select("prefix", F.lit(True).alias("heavy")), "exact-heavy")
+        # At most total / limit prefixes; their number decides how they are joined.
+        n = heavy.count()
+        if not n:
             break
-        longer = F.when(F.col("heavy"), F.substring("body", 1, depth)).otherwise(F.col("prefix"))
-        dealt = dealt.join(heavy, "prefix", "left").withColumn("prefix", longer).drop("heavy")
+        heavy = F.broadcast(heavy) if n * depth <= BROADCAST_BYTES else heavy
+        more = F.when(F.col("heavy"), F.substring("body", 1, longer)).otherwise(F.col("prefix"))
+        dealt = dealt.join(heavy, "prefix", "left").withColumn("prefix", more).drop("heavy")
     return dealt.repartition(max(partitions(groups), 2 * total // limit), "prefix")
 
 

@@ -1,0 +1,77 @@
+"""Small tables of documents with the cases that operators must stand."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import DataFrame, SparkSession
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that operators use inside; none of them may clash.
+EXTRA = "key long, id long, fp long, size long, place long, gram long, `group` string, removed string"
+
+
+def words(n: int, seed: int, vocabulary: int = 40) -> str:
+    pick = random.Random(seed)
+    return " ".join(f"w{pick.randrange(vocabulary)}x" for _ in range(n))
+
+
+def passage(seed: int) -> str:
+    return words(60, seed, 5000)
+
+
+def odd_texts() -> list[str | None]:
+    """Nulls, blanks, one word, copies, near copies, shared passages, a very long text."""
+    shared, base = passage(1), words(120, 2, 4000)
+    return [
+        None,
+        "",
+        " \t\n\x0b\x0c\r ",
+        "one",
+        "Word",
+        "word",
+        "wORD",
+        base,
+        base.upper(),
+        base + " tail",
+        f"{passage(3)} {shared} {passage(4)}",
+        f"{passage(5)}\n{shared} {passage(6)}",
+        f"{shared} {shared}",
+        "aaaa " * 300,
+        "#$% " * 100,
+        "été  naïve 日本語 😀 ​<|endoftext|> end\x85x y",
+        words(60_000, 9, 300),
+        "same line\nsame line\n\nsame line " + passage(7),
+    ]
+
+
+def table(spark: SparkSession, texts: list[str | None], extra: bool = False, start: int = 0) -> DataFrame:
+    rows = [
+        (start + k, t, "en", None if k % 5 == 4 else f"src{k % 3}", len(t or ""))
+        for k, t in enumerate(texts)
+    ]
+    if not extra:
+        return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame([(*r, 1, 2, 3, 4, 5, 6, "g", None) for r in rows], f"{SCHEMA}, {EXTRA}")
+
+
+def odd(spark: SparkSession) -> DataFrame:
+    return table(spark, odd_texts(), extra=True)
+
+
+def repeated_rows(spark: SparkSession) -> DataFrame:
+    """The same rows twice, rows without an id, and an id with two texts."""
+    once = table(spark, odd_texts()[:12])
+    nulls = table(spark, [passage(1), passage(1), None]).selectExpr(
+        "cast(null as long) doc_id", "text", "lang", "cast(null as string) source", "n_chars"
+    )
+    other = table(spark, [passage(8), passage(9)]).selectExpr("7L doc_id", "text", "lang", "source", "n_chars")
+    return once.unionByName(once).unionByName(nulls).unionByName(other)
+
+
+def empty(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], SCHEMA)
+
+
+def listed(rows: DataFrame) -> list[tuple]:
+    return sorted((tuple(r) for r in rows.collect()), key=lambda r: tuple((x is not None, x) for x in r))

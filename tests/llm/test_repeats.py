@@ -1,0 +1,121 @@
+"""Suffix dedup and substring dedup, and the search for repeated windows that they share."""
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm import brute
+from llm.fixtures import empty, listed, odd, passage, repeated_rows, table
+
+from hirefunnel.llm import automaton_dedup, repeats, suffix_dedup
+
+SMALL = st.lists(st.text("ab", max_size=40).map(str.encode), max_size=8)
+
+
+@given(st.lists(st.integers(0, 30), max_size=6), st.integers(1, 6), st.integers(0, 6))
+def test_every_window_has_one_anchor(sizes, gram, more):
+    length = gram + more
+    pick = np.random.default_rng(sum(sizes))
+    texts = [pick.integers(0, 3, n).astype(np.uint64) for n in sizes]
+    found = repeats.anchors(texts, length, gram)
+    windows = [
+        (t, p) for t, a, b in zip(found.text, found.first, found.last, strict=True) for p in range(a, b + 1)
+    ]
+    assert sorted(windows) == [(t, p) for t, n in enumerate(sizes) for p in range(n - length + 1)]
+    # Equal windows have the same gram at the same place.
+    names = {}
+    for t, at, a, b, h in zip(found.text, found.at, found.first, found.last, found.gram, strict=True):
+        for p in range(a, b + 1):
+            name = (int(h), int(at - p))
+            assert names.setdefault(tuple(texts[t][p : p + length]), name) == name
+
+
+def test_texts_longer_than_a_slice(monkeypatch):
+    monkeypatch.setattr(repeats, "SLICE", 50)
+    text = np.random.default_rng(1).integers(0, 4, 333).astype(np.uint64)
+    found = repeats.anchors([text[:7], text, text[:20]], 10, 4)
+    assert sum(found.last - found.first + 1) == 324 + 11
+
+
+@given(SMALL)
+def test_loser_tree_merges_and_knows_common_prefixes(texts):
+    runs = [
+        suffix_dedup.Run.decoded(
+            suffix_dedup.Run.of([(t[0] % 2, t[i:], t[:i][::-1], k, i) for i in range(len(t))]).encoded()
+        )
+        for k, t in enumerate(texts)
+        if t
+    ]
+    merged, shared = suffix_dedup.merge(runs) if runs else ([], [])
+    assert [s[:2] for s in merged] == sorted(s[:2] for run in runs for s in run.suffixes)
+    for a, b, k in zip(merged, merged[1:], shared[1:], strict=False):
+        assert k == (suffix_dedup.common_length(a[1], b[1]) if a[0] == b[0] else 0)
+
+
+@settings(max_examples=60)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=25), max_size=6), st.integers(1, 4))
+def test_automaton_counts_windows(texts, length):
+    automaton = automaton_dedup.Automaton()
+    for t in texts:
+        automaton.add(t)
+    automaton.counted()
+    windows = [tuple(t[p : p + length]) for t in texts for p in range(len(t) - length + 1)]
+    for t in texts:
+        want = [windows.count(tuple(t[p : p + length])) > 1 for p in range(len(t) - length + 1)]
+        assert automaton.repeated(t, length).tolist() == want
+
+
+def test_automaton_matches_other_texts():
+    automaton = automaton_dedup.Automaton()
+    automaton.add([1, 2, 3, 4])
+    automaton.counted()
+    assert [n for _, n in automaton.matches([9, 2, 3, 1, 2, 4])] == [0, 1, 2, 1, 2, 1]
+
+
+def pairs(rows):
+    return sorted((r.doc_id, r.text) for r in rows.collect())
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_suffix_dedup_against_brute_force(spark, hot):
+    rows = odd(spark).repartition(4)
+    got = listed(suffix_dedup.digests(rows, hot=hot))
+    assert got == brute.suffix(pairs(rows), 100)
+
+
+@pytest.mark.parametrize("hot", [4096, 2])
+def test_substring_dedup_against_brute_force(spark, hot):
+    rows = odd(spark).repartition(4)
+    got = listed(automaton_dedup.digests(rows, hot=hot))
+    assert got == brute.substrings(pairs(rows), 35)
+
+
+def many(spark):
+    """A passage that many texts share in new surroundings, over several partitions."""
+    shared = passage(1)
+    texts = [f"{passage(100 + k)} {shared} {passage(200 + k)}" for k in range(60)]
+    return table(spark, texts + texts[:5]).repartition(7)
+
+
+def test_common_passage(spark):
+    rows = many(spark)
+    assert listed(suffix_dedup.digests(rows, hot=10)) == brute.suffix(pairs(rows), 100)
+    assert listed(automaton_dedup.digests(rows, hot=10)) == brute.substrings(pairs(rows), 35)
+
+
+def test_repeated_rows(spark):
+    rows = repeated_rows(spark)
+    ordered = sorted(
+        ((r.doc_id, r.text) for r in rows.collect()),
+        key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""),
+    )
+    got = [tuple(r) for r in suffix_dedup.digests(rows).collect()]
+    want = brute.suffix(ordered, 100)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    got = [tuple(r) for r in automaton_dedup.digests(rows).collect()]
+    assert sorted(got, key=str) == sorted(brute.substrings(ordered, 35), key=str)
+
+
+def test_empty(spark):
+    assert suffix_dedup.digests(empty(spark)).collect() == []
+    assert automaton_dedup.digests(empty(spark)).collect() == []
