@@ -56,19 +56,30 @@ def radix_groups(texts: list[bytes]) -> list[list[int]]:
 
 
 def exact_groups(
-    rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = 32 << 20
+    rows: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    limit: int = 32 << 20,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256."""
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+
+    With `key_col`, a number that tells rows of one id apart, its value comes back as `key`.
+    """
     source = rows.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
         F.col(text_col).cast("string").alias("text"),
+        F.col(key_col or id_col).cast("long").alias("key"),
+    )
+    folded = source.mapInArrow(
+        _fold, "local long, id long, key long, leads boolean, size long, body binary"
     )
-    folded = source.mapInArrow(_fold, "local long, id long, leads boolean, size long, body binary")
     folded = stored(folded, "exact-folded")
-    final = _resolved(_dealt(folded.where("body IS NOT NULL").drop("leads"), limit))
-    members = folded.where("body IS NULL").select("local", "id", "leads")
+    final = _resolved(_dealt(folded.where("body IS NOT NULL").drop("leads", "key"), limit))
+    members = folded.where("body IS NULL").select("local", "id", "key", "leads")
     return members.join(final, "local").select(
         _nullable("id").alias(id_col),
+        *(["key"] if key_col else []),
         _nullable("keep_id").alias("keep_id"),
         "group_size",
         (F.col("leads") & (F.col("local") == F.col("keep_local"))).alias("kept"),
@@ -78,18 +89,15 @@ def exact_groups(
 
 def distinct_rows(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    kept = exact_groups(rows, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"))
-    out = rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    again = rows.groupBy(F.col(id_col).alias("__id")).count().where("count > 1")
+    again = rows.groupBy(id_col).count().where("count > 1")
     if again.isEmpty():
-        return out
-    # Rows that share an id as well: equal texts among them are told apart by nothing.
-    shared = F.col(id_col).eqNullSafe(F.col("__id"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    twins = out.join(again, shared, "left_semi").withColumn("__text", F.translate(text, upper, lower))
-    twins = twins.dropDuplicates([id_col, "__text"]).drop("__text")
-    return out.join(again, shared, "left_anti").unionByName(twins)
+        kept = exact_groups(rows, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"))
+        return rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    # Rows that share an id are told apart by a number that is written down with them.
+    numbered = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "exact-rows")
+    kept = exact_groups(numbered, id_col, text_col, key_col="__row").where("kept")
+    kept = kept.select(F.col("key").alias("__row"))
+    return numbered.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +119,12 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array(np.concatenate([names, names[group_of]])),
                 pa.array(np.concatenate([ids[leaders], ids])),
+                pa.concat_arrays([pa.nulls(len(groups), pa.int64()), batch.column(2)]),
                 pa.array(np.concatenate([np.ones(len(groups), bool), leads])),
                 pa.array(np.concatenate([[len(g) for g in groups], np.ones(n)]).astype(np.int64)),
                 pa.array([texts[g[0]] for g in groups] + [None] * n, pa.binary()),
             ],
-            names=["local", "id", "leads", "size", "body"],
+            names=["local", "id", "key", "leads", "size", "body"],
         )
 
 

@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirefunnel.llm.common import each_batch, stored, texts_of, whole_groups
@@ -181,13 +181,15 @@ def near_groups(
 
 def representatives(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the row with the smallest id, with all its columns."""
-    groups = near_groups(rows, id_col, text_col)
-    kept = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("__id")
-    )
-    out = rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
     if rows.groupBy(id_col).count().where("count > 1").isEmpty():
-        return out
-    # Repeated ids: the row with the smallest text of those that share the kept id.
-    by_id = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
-    return out.withColumn("__at", F.row_number().over(by_id)).where("__at = 1").drop("__at")
+        groups = near_groups(rows, id_col, text_col)
+        kept = groups.where(F.col(id_col).eqNullSafe(F.col("component_id")))
+        kept = kept.select(F.col(id_col).alias("__id"))
+        return rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    # Rows that share an id are told apart by a number that is written down with them.
+    numbered = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    groups = near_groups(numbered, "__row", text_col)
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("__row"))
+    named = numbered.select("__row", order.alias("__order")).join(groups, "__row")
+    kept = named.groupBy("component_id").agg(F.min("__order").alias("__order")).select("__order.__row")
+    return numbered.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in rows.columns])
