@@ -90,7 +90,7 @@ SPARSE_MEASURES = ["bid_set", "spend_hour", *KIND_COUNT.values()]
 
 
 def kind_by_hour(events: DataFrame, kind: str, fill: bool = True) -> DataFrame:
-    """One kind by hour through SQL over a temporary view.
+    """One kind by hour through SQL.
 
     Clicks carry the plain average and sum of their bids, the other kinds a count only.
     With `fill`, NULL ids and bids are 0 before grouping.
@@ -99,20 +99,19 @@ def kind_by_hour(events: DataFrame, kind: str, fill: bool = True) -> DataFrame:
     if fill:
         rows = fill_keys(rows, bid=kind == "click")
     rows = rows.withColumn("micros", bid_micros(F.col("bid")))
-    view = f"{kind}_events"
-    rows.createOrReplaceTempView(view)
     money = (
         f", try_divide(sum(micros), count(micros)) / {MICROS} AS bid_set"
         f", sum(micros) / {MICROS} AS spend_hour"
         if kind == "click"
         else ""
     )
-    return events.sparkSession.sql(f"""
+    query = f"""
         SELECT job_id, date(ts) AS date, hour(ts) AS hour, publisher_id, campaign_id, group_id,
                count(*) AS {KIND_COUNT[kind]} {money}
-        FROM {view}
+        FROM {{rows}}
         GROUP BY job_id, date(ts), hour(ts), publisher_id, campaign_id, group_id
-    """)
+    """
+    return events.sparkSession.sql(query, rows=rows)
 
 
 def join_kinds(*by_kind: DataFrame, fill: bool = False) -> DataFrame:

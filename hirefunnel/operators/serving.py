@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirefunnel.operators.metrics import half_up
+from hirefunnel.schema import EVENT_KEYS
 
 # Funnel stages and the total each one shows.
 FUNNEL = {"Views": "clicks", "Applications": "conversions", "Qualified": "qualified"}
@@ -63,7 +64,11 @@ def grand_total(fact: DataFrame) -> DataFrame:
 
 
 def newest_first(fact: DataFrame, source: str, n: int | None = None) -> DataFrame:
-    """Rows of one writer, latest `updated_at` first; `n` keeps the first n of them."""
-    order = [F.col("updated_at").desc(), F.col("dates").desc(), F.col("hours").desc(), "job_id"]
+    """Rows of one writer, latest `updated_at` first; `n` keeps the first n of them.
+
+    The whole key is part of the order, so ties do not decide which rows are kept.
+    """
+    latest = [F.col("updated_at").desc(), F.col("dates").desc(), F.col("hours").desc()]
+    order = [*latest, *EVENT_KEYS, "company_id"]
     rows = fact.where(F.col("sources") == source).orderBy(*order)
     return rows if n is None else rows.limit(n)
