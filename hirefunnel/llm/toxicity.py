@@ -1,9 +1,13 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its character n-grams (with marks for its ends) and itself, hashed into a
-fixed number of buckets that have a vector each; a text is the average over its words of the
-average of their vectors, and a linear softmax on it gives the probability. Vectors and softmax
-are trained together, so an unseen misspelling shares most vectors with the word it comes from.
+fixed number of buckets; a word's vector is the average over its bag. Only buckets whose share of
+texts differs between the labels by at least `least_z` standard errors have a vector, the others
+count as nothing, so that chance n-grams of a few texts are not learnt by heart. A text is the
+average of its words' vectors, each word weighing as much as the share of its bag that has a
+vector; so a few rude words are not thinned out by a long text. A linear softmax gives the
+probability. Vectors and softmax are trained together, so an unseen misspelling shares most vectors
+with the word it comes from.
 
 Training reads at most `most` labelled rows of each label, those with the smallest hash of their
 id: a documented bound, 4,000 by default, so that what the driver trains on does not grow. Only
@@ -33,8 +37,8 @@ BUCKETS = 1 << 21
 DIMENSIONS = 8
 NGRAMS = (3, 4, 5, 6)
 MOST = 4000
-#: Words without a vector that every average also counts, so that a few words decide little.
-NEUTRAL = 50
+#: Words of nothing that every average also counts, so that a word or two decide little.
+NEUTRAL = 2
 CACHED = 1 << 19
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _TABLE = bytes.maketrans(_PUNCTUATION.encode(), b" " * len(_PUNCTUATION))
@@ -56,21 +60,24 @@ def bag(word: bytes) -> list[int]:
 
 @dataclass(frozen=True)
 class Model:
-    """weight: each bucket's share of the log odds; bias: the log odds of an empty text."""
+    """weight: each bucket's share of the log odds; known: buckets with a vector; bias: the log
+    odds of a text without any of them."""
 
     weight: np.ndarray
+    known: np.ndarray
     bias: float
 
 
 class Scorer(dict):
-    """Log odds by word, computed when first met."""
+    """Log odds and weight by word, computed when first met."""
 
     def __init__(self, model: Model) -> None:
         super().__init__()
-        self.weight, self.bias = model.weight, model.bias
+        self.weight, self.known, self.bias = model.weight, model.known, model.bias
 
-    def __missing__(self, word: bytes) -> float:
-        value = float(self.weight[bag(word)].mean())
+    def __missing__(self, word: bytes) -> tuple[float, float]:
+        own = bag(word)
+        value = float(self.weight[own].mean()), float(self.known[own].mean())
         if len(word) <= 64:
             if len(self) >= CACHED:
                 self.clear()
@@ -78,44 +85,62 @@ class Scorer(dict):
         return value
 
     def score(self, text: bytes) -> float:
-        words = words_of(text)
-        odds = self.bias + sum(map(self.__getitem__, words)) / (len(words) + NEUTRAL)
+        found = [self[w] for w in words_of(text)]
+        odds = self.bias + sum(v for v, _ in found) / (sum(n for _, n in found) + NEUTRAL)
         return float(1 / (1 + np.exp(-np.clip(odds, -60, 60))))
 
 
+def telling(bags: list[np.ndarray], y: np.ndarray, least: int, least_z: float) -> np.ndarray:
+    """Buckets in at least `least` texts whose shares of the two labels' texts differ clearly."""
+    rude = np.zeros(BUCKETS)
+    total = np.zeros(BUCKETS)
+    for own, label in zip(bags, y, strict=True):
+        total[own] += 1
+        rude[own] += label
+    n1 = y.sum()
+    n0 = len(y) - n1
+    share = total / len(y)
+    error = np.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
+    difference = np.abs(rude / n1 - (total - rude) / n0)
+    return (total >= least) & (difference >= least_z * error) & (error > 0)
+
+
 def train(
     texts: list[bytes],
     labels: list[int],
-    epochs: int = 15,
+    epochs: int = 30,
     rate: float = 0.05,
     batch: int = 256,
-    least: int = 20,
-    decay: float = 0.005,
+    least: int = 10,
+    least_z: float = 5.0,
+    decay: float = 0.001,
     seed: int = 7,
 ) -> Model:
-    """Adam on the cross entropy; a toxic text missed weighs twice. Buckets that fewer than `least` texts have stay at nothing."""
+    """Adam on the cross entropy; a toxic text missed weighs twice."""
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
-        return Model(np.zeros(BUCKETS, np.float32), 0.0 if not len(y) else (60.0 if y[0] else -60.0))
-    known: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-    index, share = [], []
-    for text in texts:
-        words = words_of(text)
-        total = len(words) + NEUTRAL
-        grams, parts = [np.empty(0, np.int64)], [np.empty(0)]
-        for w in words:
+        nothing = np.zeros(BUCKETS, bool)
+        bias = 0.0 if not len(y) else (60.0 if y[0] else -60.0)
+        return Model(np.zeros(BUCKETS, np.float32), nothing, bias)
+    known: dict[bytes, np.ndarray] = {}
+    words = [words_of(text) for text in texts]
+    for own in words:
+        for w in own:
             if w not in known:
-                own = np.array(bag(w))
-                known[w] = own, np.full(len(own), 1 / len(own))
-            grams.append(known[w][0])
-            parts.append(known[w][1] / total)
-        unique, at = np.unique(np.concatenate(grams), return_inverse=True)
-        index.append(unique)
-        share.append(np.bincount(at, np.concatenate(parts), len(unique)).astype(np.float32))
-    seen = np.bincount(np.concatenate(index), minlength=BUCKETS) >= least
+                known[w] = np.array(bag(w))
+    empty = [np.empty(0, np.int64)]
+    bags = [np.unique(np.concatenate(empty + [known[w] for w in own])) for own in words]
+    seen = telling(bags, y, least, least_z)
     number, n = np.cumsum(seen) - 1, int(seen.sum())
-    for k, (own, part) in enumerate(zip(index, share, strict=True)):
-        index[k], share[k] = number[own[seen[own]]], part[seen[own]]
+    hits = {w: own[seen[own]] for w, own in known.items()}
+    index, share = [], []
+    for own in words:
+        told = [w for w in own if len(hits[w])]
+        total = sum(len(hits[w]) / len(known[w]) for w in told) + NEUTRAL
+        parts = [np.full(len(hits[w]), 1 / len(known[w]) / total) for w in told]
+        unique, at = np.unique(np.concatenate(empty + [hits[w] for w in told]), return_inverse=True)
+        index.append(number[unique])
+        share.append(np.bincount(at, np.concatenate([np.empty(0), *parts]), len(unique)).astype(np.float32))
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (n, DIMENSIONS)).astype(np.float32)
     softmax = rng.normal(0, 0.1, DIMENSIONS).astype(np.float32)  # of label 1 against label 0
@@ -150,7 +175,7 @@ def train(
             bias -= float(adam(2, np.array([wrong.sum()], np.float32))[0])
     weight = np.zeros(BUCKETS, np.float32)
     weight[seen] = vectors @ softmax
-    return Model(weight, bias)
+    return Model(weight, seen, bias)
 
 
 def held_out(id_col: Column) -> Column:
