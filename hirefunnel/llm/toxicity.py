@@ -60,24 +60,24 @@ def bag(word: bytes) -> list[int]:
 
 @dataclass(frozen=True)
 class Model:
-    """weight: each bucket's share of the log odds; known: buckets with a vector; bias: the log
-    odds of a text without any of them."""
+    """weight: share of the log odds of each bucket that has a vector, of BUCKETS at most;
+    bias: the log odds of a text without any of them."""
 
-    weight: np.ndarray
-    known: np.ndarray
+    weight: dict[int, float]
     bias: float
 
 
 class Scorer(dict):
-    """Log odds and weight by word, computed when first met."""
+    """Log odds and weight by word, computed when first met; None where both are 0."""
 
     def __init__(self, model: Model) -> None:
         super().__init__()
-        self.weight, self.known, self.bias = model.weight, model.known, model.bias
+        self.weight, self.bias = model.weight, model.bias
 
-    def __missing__(self, word: bytes) -> tuple[float, float]:
+    def __missing__(self, word: bytes) -> tuple[float, float] | None:
         own = bag(word)
-        value = float(self.weight[own].mean()), float(self.known[own].mean())
+        hits = [self.weight[g] for g in own if g in self.weight]
+        value = (sum(hits) / len(own), len(hits) / len(own)) if hits else None
         if len(word) <= 64:
             if len(self) >= CACHED:
                 self.clear()
@@ -85,7 +85,7 @@ class Scorer(dict):
         return value
 
     def score(self, text: bytes) -> float:
-        found = [self[w] for w in words_of(text)]
+        found = [v for v in map(self.__getitem__, words_of(text)) if v]
         odds = self.bias + sum(v for v, _ in found) / (sum(n for _, n in found) + NEUTRAL)
         return float(1 / (1 + np.exp(-np.clip(odds, -60, 60))))
 
@@ -119,9 +119,7 @@ def train(
     """Adam on the cross entropy; a toxic text missed weighs twice."""
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
-        nothing = np.zeros(BUCKETS, bool)
-        bias = 0.0 if not len(y) else (60.0 if y[0] else -60.0)
-        return Model(np.zeros(BUCKETS, np.float32), nothing, bias)
+        return Model({}, 0.0 if not len(y) else (60.0 if y[0] else -60.0))
     known: dict[bytes, np.ndarray] = {}
     words = [words_of(text) for text in texts]
     for own in words:
@@ -173,9 +171,8 @@ def train(
             vectors *= 1 - decay
             vectors -= change
             bias -= float(adam(2, np.array([wrong.sum()], np.float32))[0])
-    weight = np.zeros(BUCKETS, np.float32)
-    weight[seen] = vectors @ softmax
-    return Model(weight, seen, bias)
+    weight = (vectors @ softmax).tolist()
+    return Model(dict(zip(np.flatnonzero(seen).tolist(), weight, strict=True)), bias)
 
 
 def held_out(id_col: Column) -> Column:
