@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirefunnel.functions.timeuuid import is_timeuuid, time_of_timeuuid, timestamp_to_timeuuid
+from hirefunnel.functions.timeuuid import is_timeuuid, new_timeuuid, time_of_timeuuid
 from hirefunnel.schema import KINDS, TRACKING
 
 # What the four ids and the bid become when they are absent.
@@ -51,12 +51,12 @@ def ids_as_int(df: DataFrame, column: str) -> DataFrame:
 def from_action(actions: DataFrame, at: Column | None = None) -> DataFrame:
     """Rows of `(job_id, action)` as full events: a click bids 1, any other action 0.
 
-    `at` is the time of the action, by default now. Publisher, campaign and group are
+    `at` is the time of the action, by default now; each event gets a UUID of its own. Publisher, campaign and group are
     not known to the caller and stay NULL.
     """
     at = F.current_timestamp() if at is None else at
     values = {
-        "create_time": timestamp_to_timeuuid(at),
+        "create_time": new_timeuuid(at),
         "ts": at.cast("timestamp"),
         "job_id": F.col("job_id"),
         "custom_track": F.col("action"),

@@ -37,7 +37,7 @@ def timeuuid_to_text(uuid: Column) -> Column:
 
 
 def timestamp_to_timeuuid(ts: Column) -> Column:
-    """Smallest version-1 UUID of a time (clock sequence and node are zero)."""
+    """Smallest version-1 UUID of a time (clock sequence and node are zero), for bounds."""
     ticks = F.unix_micros(ts.cast("timestamp")) * F.lit(10) + F.lit(_EPOCH_TICKS)
     h = F.lower(F.lpad(F.hex(ticks), 16, "0"))
     return F.concat(
@@ -48,3 +48,11 @@ def timestamp_to_timeuuid(ts: Column) -> Column:
         F.substring(h, 2, 3),
         F.lit("-8000-000000000000"),
     )
+
+
+def new_timeuuid(ts: Column) -> Column:
+    """A version-1 UUID of a time with a random clock sequence and node, different per row.
+
+    The last two groups are those of a random UUID: their variant is the same.
+    """
+    return F.concat(F.substring(timestamp_to_timeuuid(ts), 1, 19), F.substring(F.uuid(), 20, 17))

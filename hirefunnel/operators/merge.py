@@ -36,23 +36,25 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     )
 
 
-def untouched(fact: DataFrame, rows: DataFrame) -> DataFrame:
+def untouched(fact: DataFrame, rows: DataFrame, keys: list[str] = MERGE_KEYS) -> DataFrame:
     """The rows of `fact` whose key is not among `rows`.
 
     Few `rows` are sent to the fact's partitions; otherwise both are shuffled once by key.
     """
     return fact.alias("f").join(
-        rows.select(*MERGE_KEYS).alias("r"), same_key("f", "r", MERGE_KEYS), "left_anti"
+        rows.select(*keys).alias("r"), same_key("f", "r", keys), "left_anti"
     )
 
 
-def replace(fact: DataFrame, rows: DataFrame) -> DataFrame:
-    """Insert `rows`; where a key is stored already the new row takes its place.
+def replace(fact: DataFrame, rows: DataFrame, keys: list[str] = MERGE_KEYS) -> DataFrame:
+    """Insert `rows`; what is stored under one of their `keys` goes.
 
-    Takes full totals: repeating the merge changes nothing. `rows` is read twice, so it
-    should be a stored table rather than a long computation.
+    Takes full totals: repeating the merge changes nothing. `keys` are what the writer
+    recomputes whole: `JOB_MERGE_KEYS` when campaign and group are looked up in the job, so
+    that a job that changes them leaves no total behind. `rows` is read twice, so it should
+    be a stored table rather than a long computation.
     """
-    return untouched(fact, rows).unionByName(rows)
+    return untouched(fact, rows, keys).unionByName(rows)
 
 
 def accumulate(fact: DataFrame, rows: DataFrame) -> DataFrame:

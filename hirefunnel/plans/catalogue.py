@@ -120,7 +120,12 @@ def event_from_action(spark: SparkSession, sf: str) -> DataFrame:
     actions = fx.events(spark, sf).select(
         F.col("user_id").cast("int").alias("job_id"), F.col("event_type").alias("action"), "ts"
     )
-    return ev.from_action(actions, at=F.col("ts"))
+    made = ev.from_action(actions, at=F.col("ts"))
+    # Ids are random beyond their time: shown are what they decode to and that none repeats.
+    ids = F.size(F.collect_set("create_time"))
+    decoded = made.withColumn("decoded", timeuuid_to_text(F.col("create_time")))
+    keys = [c for c in decoded.columns if c != "create_time"]
+    return decoded.groupBy(*keys).agg(F.count("*").alias("n"), ids.alias("n_ids"))
 
 
 # --- incremental ---------------------------------------------------------------------
@@ -198,6 +203,17 @@ def batch_job(spark: SparkSession, sf: str) -> DataFrame:
     return read_fact(spark, table)
 
 
+def batch_late_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches keyed by the job's campaign: many jobs are known to the second one only, and
+    the others have changed their campaign in between."""
+    table = scratch(spark, "late-job")
+    rows, job = fx.tracking(spark, sf), fx.job(spark, sf)
+    early = job.where("id % 2 = 0").withColumn("campaign_id", F.lit("before"))
+    for dim in (early, job):
+        run_batch(rows, dim, table, key_source="dimension", updated_at=fx.stamp(fx.BATCH_STAMP))
+    return read_fact(spark, table)
+
+
 def incremental_job(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs: up to the split, then what came after it."""
     table = scratch(spark, "incremental")
@@ -319,6 +335,7 @@ QUERIES = {
         merge_accumulate,
         append_rows,
         batch_job,
+        batch_late_job,
         incremental_job,
         stream_hourly_metrics,
         stream_dimension_keys,

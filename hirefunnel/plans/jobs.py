@@ -18,7 +18,7 @@ from hirefunnel.operators.incremental import (
 from hirefunnel.operators.merge import to_fact
 from hirefunnel.operators.metrics import hourly_metrics
 from hirefunnel.plans.publish import upsert
-from hirefunnel.schema import BATCH, INCREMENTAL
+from hirefunnel.schema import BATCH, INCREMENTAL, JOB_MERGE_KEYS, MERGE_KEYS
 from hirefunnel.sources.tables import read_fact
 
 
@@ -35,6 +35,10 @@ def enriched_metrics(
     return attach(hourly_metrics(events, **options), dim, "company_id")
 
 
+def merge_keys(key_source: str) -> list[str]:
+    return JOB_MERGE_KEYS if key_source == "dimension" else MERGE_KEYS
+
+
 def run_batch(
     tracking: DataFrame,
     job: DataFrame,
@@ -50,7 +54,8 @@ def run_batch(
     """
     events = with_event_time(tracking, uuid_col) if uuid_col else require(tracking, "ts")
     metrics = enriched_metrics(events, prepare_dimension(job), key_source)
-    upsert(to_fact(metrics, BATCH, updated_at), table, BATCH, run_id or uuid.uuid4().hex)
+    rows = to_fact(metrics, BATCH, updated_at)
+    upsert(rows, table, BATCH, run_id or uuid.uuid4().hex, keys=merge_keys(key_source))
 
 
 def run_incremental(
@@ -79,5 +84,5 @@ def run_incremental(
     events = touched_hours(tracking, F.lit(now.sink_mark), "ts", lookback, day_column)
     metrics = enriched_metrics(events, prepare_dimension(job), key_source)
     rows = to_fact(metrics, INCREMENTAL, F.lit(now.source_mark).cast("timestamp"))
-    upsert(rows, table, INCREMENTAL, now.source_mark)
+    upsert(rows, table, INCREMENTAL, now.source_mark, keys=merge_keys(key_source))
     return True

@@ -241,13 +241,14 @@ _SELECTS = {
         SELECT event_id, {_UUID} AS create_time, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events""",
     "keyed_publish": _MESSAGE,
     "json_envelope_roundtrip": "SELECT * FROM tracking",
-    "event_from_action": f"""
-        SELECT {_UUID} AS create_time, ts, cast(user_id AS integer) AS job_id,
-               event_type AS custom_track,
+    "event_from_action": """
+        SELECT ts, cast(user_id AS integer) AS job_id, event_type AS custom_track,
                cast(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS double) AS bid,
                cast(NULL AS integer) AS publisher_id, cast(NULL AS varchar) AS campaign_id,
-               cast(NULL AS varchar) AS group_id
-        FROM events""",
+               cast(NULL AS varchar) AS group_id,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') AS decoded, count(*) AS n, count(*) AS n_ids
+        FROM events
+        GROUP BY ts, user_id, event_type""",
     "high_water_mark": "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS mark FROM tracking",
     "new_data_gate": f"""
         SELECT max(ts) AS source_mark, {_SINK_MARK} AS sink_mark,
@@ -266,6 +267,7 @@ _SELECTS = {
     ),
     "append_rows": f"{_LAGGING} UNION ALL {_BATCH_FACT}",
     "batch_job": _BATCH_FACT,
+    "batch_late_job": _dimension_metrics(BATCH, BATCH_STAMP),
     "incremental_job": f"""
         SELECT * REPLACE (
           CASE WHEN cast(dates AS timestamp) + hours * INTERVAL 1 HOUR >= {_HOURS_FROM_MARK}

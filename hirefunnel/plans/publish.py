@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hirefunnel.operators import merge
-from hirefunnel.schema import FACT, check_sink_schema
+from hirefunnel.schema import FACT, MERGE_KEYS, check_sink_schema
 from hirefunnel.sources.tables import read_fact
 
 _LAYOUT = ["sources", "dates"]
@@ -35,10 +35,24 @@ def append(rows: DataFrame, path: str, schema: StructType = FACT) -> None:
     _laid_out(check_sink_schema(rows, schema)).mode("append").parquet(path)
 
 
-def upsert(rows: DataFrame, path: str, source: str, run_id: str, how: str = "replace") -> None:
+def last_run(spark: SparkSession, path: str, source: str) -> str | None:
+    """The id of the run that a writer decided last."""
+    decided = _recorded(spark, f"{path}/_staging/{source}/decided")
+    return decided.run_id if decided else None
+
+
+def upsert(
+    rows: DataFrame,
+    path: str,
+    source: str,
+    run_id: str,
+    how: str = "replace",
+    keys: list[str] = MERGE_KEYS,
+) -> None:
     """Merge the rows of one run of one writer into the table, once.
 
-    `how` is 'replace' for full totals or 'accumulate' for totals of new events only.
+    `how` is 'replace' for full totals or 'accumulate' for totals of new events only; `keys`
+    are those that a replacing run recomputes whole.
     `run_id` names the run; giving the same one again repeats the publication only.
     """
     spark = rows.sparkSession
@@ -63,8 +77,11 @@ def upsert(rows: DataFrame, path: str, source: str, run_id: str, how: str = "rep
     if None in dates:
         touched = touched | F.col("dates").isNull()
     stored = read_fact(spark, path).where((F.col("sources") == source) & touched)
-    combine = {"replace": merge.untouched, "accumulate": merge.accumulate}[how]
-    combine(stored, fresh).write.mode("overwrite").parquet(f"{staging}/stored")
+    if how == "accumulate":
+        kept = merge.accumulate(stored, fresh)
+    else:
+        kept = merge.untouched(stored, fresh, keys)
+    kept.write.mode("overwrite").parquet(f"{staging}/stored")
     this = Row(run_id=run_id, how=how)
     _record(spark, f"{staging}/decided", this)
     _publish(spark, staging, path, this)

@@ -43,6 +43,9 @@ TIME_KEYS = ["dates", "hours"]
 FACT_KEYS = TIME_KEYS + EVENT_KEYS
 # The whole grouping key plus the writer; rows that differ in group_id stay apart.
 MERGE_KEYS = FACT_KEYS + ["sources"]
+# What a run recomputes whole when campaign and group come from the job: these may change
+# between runs, and the rows under their old values have to go.
+JOB_MERGE_KEYS = TIME_KEYS + ["job_id", "publisher_id", "sources"]
 
 TRACKING = _struct(
     create_time=StringType(),

@@ -5,9 +5,13 @@ Three forms, all safe to replay:
 * running totals: the state store keeps every hour; each trigger emits the full totals of
   the hours that changed, which replace the stored ones.
 * deltas: no state store; each trigger's events are aggregated on their own and added to
-  the stored totals, once per epoch.
+  the stored totals, once per epoch. The totals belong to one checkpoint: a query with a new
+  one would add the log a second time, so it raises. To start over, use a new table.
 * bounded: running totals whose state is dropped a given time after the hour ends.
 
+A run is named by the query's id, which Spark keeps in the checkpoint, and the epoch. After a
+checkpoint was lost, running totals are recomputed from the log and replace what is stored.
+
 A message whose time cannot be read counts under a NULL date and hour, except in the bounded
 form, which has no place for it. Sifting such messages out before grouping would make Spark
 parse every message twice, once for the test and once for the values.
@@ -25,8 +29,8 @@ from hirefunnel.functions.envelope import parse_envelope
 from hirefunnel.operators.enrich import attach, prepare_dimension
 from hirefunnel.operators.merge import to_fact
 from hirefunnel.operators.metrics import hourly_metrics
-from hirefunnel.plans.jobs import enriched_metrics
-from hirefunnel.plans.publish import upsert
+from hirefunnel.plans.jobs import enriched_metrics, merge_keys
+from hirefunnel.plans.publish import last_run, upsert
 from hirefunnel.schema import EVENT_KEYS, STREAM
 from hirefunnel.workspace import ROCKSDB, STATE_STORE, setting
 
@@ -42,6 +46,19 @@ def _columns(key_source: str) -> list[str]:
     return ["company_id"] if key_source == "event" else ["campaign_id", "group_id", "company_id"]
 
 
+def _run_ids(checkpoint: str) -> Callable[[DataFrame, int], str]:
+    """Names of the epochs of the query that owns the checkpoint."""
+    known: list[str] = []
+
+    def run_id(batch: DataFrame, epoch: int) -> str:
+        if not known:
+            metadata = batch.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata")
+            known.append(metadata.first().id)
+        return f"{known[0]}#{epoch}"
+
+    return run_id
+
+
 def _start(
     rows: DataFrame,
     sink: Callable[[DataFrame, int], None],
@@ -70,14 +87,17 @@ def start_running_totals(
     """Stateful totals in update mode, replaced in the table; `watermark` bounds the state.
 
     Job columns are joined to the few rows a trigger emits, after grouping, so the state
-    holds no dimension values and a changed job shows from the next trigger on.
+    holds no dimension values. A changed job shows from the next trigger on, in the hours
+    that get new events: their totals move to the job's new campaign and group as a whole.
     """
     events = parse_envelope(messages)
     totals = hourly_metrics(events, keys=_keys(key_source), watermark=watermark)
+    run_id, keys = _run_ids(checkpoint), merge_keys(key_source)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         rows = attach(batch, prepare_dimension(job), *_columns(key_source))
-        upsert(to_fact(rows, STREAM, updated_at), table, STREAM, f"{checkpoint}#{epoch}")
+        rows = to_fact(rows, STREAM, updated_at)
+        upsert(rows, table, STREAM, run_id(batch, epoch), keys=keys)
 
     # State in RocksDB lives on disk with a cache, not on the executors' heap. A query
     # keeps the setting it was started with.
@@ -97,12 +117,15 @@ def start_deltas(
 ) -> StreamingQuery:
     """Totals of each trigger's events only, added to the table once per epoch."""
     events = parse_envelope(messages)
+    run_id = _run_ids(checkpoint)
 
     def sink(batch: DataFrame, epoch: int) -> None:
+        this = run_id(batch, epoch)
+        last = last_run(batch.sparkSession, table, STREAM)
+        if last and last.split("#")[0] != this.split("#")[0]:
+            raise ValueError(f"{table} holds totals of another query: {last}, not of {this}")
         rows = enriched_metrics(batch, prepare_dimension(job), key_source)
-        upsert(
-            to_fact(rows, STREAM, updated_at), table, STREAM, f"{checkpoint}#{epoch}", "accumulate"
-        )
+        upsert(to_fact(rows, STREAM, updated_at), table, STREAM, this, "accumulate")
 
     return _start(events, sink, checkpoint, "append", trigger, name)
 

@@ -218,3 +218,11 @@ def test_newest_first(spark):
     )
     assert [r.hours for r in serving.newest_first(rows, BATCH).collect()] == [11, 10]
     assert [r.hours for r in serving.newest_first(rows, BATCH, 1).collect()] == [11]
+
+
+def test_job_that_arrives_late_replaces_its_unmatched_rows(spark, folder):
+    rows = events(spark, event(), event(publisher_id=None))
+    for dim in (jobs(spark, (2, "x", "c", "g")), jobs(spark, (1, "x", "c", "g"))):
+        run_batch(rows, dim, f"{folder}/t", key_source="dimension", uuid_col=None)
+    got = sorted((r.clicks, r.campaign_id) for r in read_fact(spark, f"{folder}/t").collect())
+    assert got == [(1, "c"), (1, "c")]

@@ -222,3 +222,12 @@ def test_funnel_without_clicks(spark):
     assert [r.percent_initial for r in rows] == [None, None, None, 100.0, 33.33, 0.0]
     assert [r.stage for r in rows[:3]] == ["Views", "Applications", "Qualified"]
     assert serving.grand_total(df).first().total == 7
+
+
+def test_actions_have_ids_of_their_own(spark):
+    actions = spark.range(1000).select(F.col("id").cast("int").alias("job_id"), F.lit("click").alias("action"))
+    at = F.lit("2024-05-06 07:08:09.123456").cast("timestamp")
+    rows = ev.from_action(actions, at=at)
+    made = rows.select("create_time", (timeuuid_to_timestamp(F.col("create_time")) == at).alias("same")).collect()
+    assert len({r.create_time for r in made}) == 1000
+    assert all(r.same for r in made)

@@ -174,3 +174,33 @@ def test_stream_equals_batch(spark, folder, start):
     run(start, Topic(spark, folder), fx.job(spark, SF), folder)
     whole = fx.batch_fact(spark, SF).withColumn("sources", F.lit(STREAM))
     assert stored(read_fact(spark, f"{folder}/t")) == stored(whole)
+
+
+def test_job_that_changes_leaves_no_total_behind(spark, topic, folder):
+    topic.send(event(), event())
+    run(streaming.start_running_totals, topic, jobs(spark, (1, "x", "old", "g")), folder, key_source="dimension")
+    topic.send(event())
+    run(streaming.start_running_totals, topic, jobs(spark, (1, "x", "new", "g")), folder, key_source="dimension")
+    (row,) = read_fact(spark, f"{folder}/t").collect()
+    assert (row.clicks, row.campaign_id) == (3, "new")
+
+
+def _restart(start, topic, dim, folder):
+    query = start(topic.stream(), dim, f"{folder}/t", f"{folder}/checkpoint2", trigger=NOW)
+    query.awaitTermination()
+
+
+def test_running_totals_after_a_lost_checkpoint(spark, topic, dim, folder):
+    topic.send(event())
+    run(streaming.start_running_totals, topic, dim, folder)
+    topic.send(event(), event(ts="2024-01-01 15:00:00"))
+    _restart(streaming.start_running_totals, topic, dim, folder)
+    assert counts(spark, folder) == {(10, 1): 2, (15, 1): 1}
+
+
+def test_deltas_refuse_a_second_checkpoint(spark, topic, dim, folder):
+    topic.send(event())
+    run(streaming.start_deltas, topic, dim, folder)
+    with pytest.raises(Exception, match="totals of another query"):
+        _restart(streaming.start_deltas, topic, dim, folder)
+    assert counts(spark, folder) == {(10, 1): 1}
