@@ -10,11 +10,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirefunnel.operators.metrics import half_up
 from hirefunnel.schema import COUNTS, FACT, FACT_KEYS, MERGE_KEYS, check_sink_schema
 
-# Amounts of the fact table have two decimals; they are added as whole cents.
-_CENTS = 100
+# Amounts of the fact table have two decimals and are added as such.
+_CENTS = "decimal(28,2)"
 
 
 def to_fact(metrics: DataFrame, source: str, updated_at: Column | None = None) -> DataFrame:
@@ -64,16 +63,15 @@ def accumulate(fact: DataFrame, rows: DataFrame) -> DataFrame:
     a job that changes owner within the hour keeps both owners' shares.
     """
     keys = MERGE_KEYS + ["company_id"]
-    cents = F.rint(F.col("spend_hour") * _CENTS).cast("bigint")
     return (
         fact.unionByName(rows)
         .groupBy(*keys)
         .agg(
-            F.sum(cents).alias("_spend"),
+            F.sum(F.col("spend_hour").cast(_CENTS)).alias("_spend"),
             *[F.sum(c).alias(c) for c in COUNTS],
             F.max("updated_at").alias("updated_at"),
         )
-        .withColumn("spend_hour", half_up(F.col("_spend"), F.lit(1)))
+        .withColumn("spend_hour", F.col("_spend").cast("double"))
         .select(*FACT.fieldNames())
     )
 

@@ -10,15 +10,30 @@ from pyspark.sql import functions as F
 from hirefunnel.functions.events import fill_keys, known_only as only_known_kinds, of_kind
 from hirefunnel.schema import EVENT_KEYS, MEASURE_OF_KIND
 
-# Money is added up as whole millionths, so the order of addition cannot change a sum
-# and the aggregation buffers stay plain 64-bit integers.
+# Money is added up as decimals, so the order of addition cannot change a sum. A sum has ten
+# more digits than an amount: ten thousand million of the largest ones still fit.
+AMOUNT = "decimal(24,9)"
 MICROS = 1_000_000
-_MICROS_PER_CENT = 10_000
 
 
-def bid_micros(bid: Column) -> Column:
-    """A bid in millionths; NULL when it is not a finite amount."""
-    return F.rint(bid.cast("double") * F.lit(float(MICROS))).try_cast("bigint")
+def bid_amount(bid: Column) -> Column:
+    """A bid as an exact amount; NULL if it is not a number or is 10**15 or more.
+
+    `reconcile.unusable_bids` counts what becomes NULL here.
+    """
+    return bid.try_cast(AMOUNT)
+
+
+def average_half_up(total: Column, count: Column) -> Column:
+    """`total / count` of exact amounts with two decimals, ties away from zero; NULL for none."""
+    parts = (F.abs(total) * F.lit(200).cast("decimal(3,0)")).cast("decimal(36,9)")
+    n = count.cast("decimal(19,0)")
+    cents = F.call_function("div", parts + n, n * 2) * F.sign(total).cast("bigint")
+    return F.when(count > 0, cents / F.lit(100.0))
+
+
+def _micros(total: Column) -> Column:
+    return (total * F.lit(MICROS).cast("decimal(7,0)")).cast("double")
 
 
 def half_up(total: Column, divisor: Column) -> Column:
@@ -51,7 +66,7 @@ def hourly_metrics(
     """
     if known_only:
         events = only_known_kinds(events)
-    bid = F.when(_is("click"), bid_micros(F.col("bid")))
+    bid = F.when(_is("click"), bid_amount(F.col("bid")))
     measures = [
         F.sum(bid).alias("_spend"),
         F.count(bid).alias("_bids"),
@@ -72,8 +87,8 @@ def hourly_metrics(
         day.cast("string").alias("dates"),
         hour.alias("hours"),
         *keys,
-        half_up(spend, F.lit(_MICROS_PER_CENT)).alias("spend_hour"),
-        half_up(spend, F.col("_bids") * _MICROS_PER_CENT).alias("bid_set"),
+        F.round(spend, 2).cast("double").alias("spend_hour"),
+        average_half_up(spend, F.col("_bids")).alias("bid_set"),
         *MEASURE_OF_KIND.values(),
     )
 
@@ -98,10 +113,10 @@ def kind_by_hour(events: DataFrame, kind: str, fill: bool = True) -> DataFrame:
     rows = of_kind(events, kind)
     if fill:
         rows = fill_keys(rows, bid=kind == "click")
-    rows = rows.withColumn("micros", bid_micros(F.col("bid")))
+    rows = rows.withColumn("amount", bid_amount(F.col("bid")))
     money = (
-        f", try_divide(sum(micros), count(micros)) / {MICROS} AS bid_set"
-        f", sum(micros) / {MICROS} AS spend_hour"
+        f", try_divide(cast(sum(amount) * {MICROS} AS double), count(amount)) / {MICROS} AS bid_set"
+        f", cast(sum(amount) * {MICROS} AS double) / {MICROS} AS spend_hour"
         if kind == "click"
         else ""
     )
@@ -136,7 +151,7 @@ def sparse_metrics(events: DataFrame, fill_ids: bool = True, fill: bool = False)
     rows = only_known_kinds(events)
     if fill_ids:
         rows = fill_keys(rows, bid=True)
-    bid = F.when(_is("click"), bid_micros(F.col("bid")))
+    bid = F.when(_is("click"), bid_amount(F.col("bid")))
     found = rows.groupBy(
         "job_id",
         F.to_date("ts").alias("date"),
@@ -151,8 +166,8 @@ def sparse_metrics(events: DataFrame, fill_ids: bool = True, fill: bool = False)
     )
     sparse = found.select(
         *SPARSE_KEYS,
-        F.when(F.col("_bids") > 0, F.col("_spend") / F.col("_bids") / MICROS).alias("bid_set"),
-        (F.col("_spend") / MICROS).alias("spend_hour"),
+        F.when(F.col("_bids") > 0, _micros(F.col("_spend")) / F.col("_bids") / MICROS).alias("bid_set"),
+        (_micros(F.col("_spend")) / MICROS).alias("spend_hour"),
         *[F.nullif(F.col(name), F.lit(0)).alias(name) for name in KIND_COUNT.values()],
     )
     return sparse.na.fill(0, SPARSE_MEASURES) if fill else sparse

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirefunnel.operators.merge import union_sources
+from hirefunnel.operators.metrics import bid_amount
 from hirefunnel.schema import BATCH, COUNTS, FACT_KEYS, STREAM
 
 
@@ -52,3 +53,11 @@ def agreement(drifts: DataFrame) -> DataFrame:
     return drifts.agg(
         F.count(F.lit(1)).alias("n_keys"), F.count_if(same).alias("n_agree")
     ).withColumn("agreement", F.try_divide(F.col("n_agree"), F.col("n_keys")))
+
+
+def unusable_bids(events: DataFrame) -> DataFrame:
+    """Clicks per date whose bid is there but cannot be added: not a number, or too large."""
+    lost = events.where((F.col("custom_track") == "click") & F.col("bid").isNotNull()).where(
+        bid_amount(F.col("bid")).isNull()
+    )
+    return lost.groupBy(F.to_date("ts").alias("date")).agg(F.count("*").alias("clicks"))

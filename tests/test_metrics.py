@@ -8,7 +8,7 @@ from hirefunnel import fixtures as fx
 from hirefunnel.functions import envelope
 from hirefunnel.functions import events as ev
 from hirefunnel.functions.timeuuid import timestamp_to_timeuuid, timeuuid_to_timestamp
-from hirefunnel.operators import enrich, metrics, serving
+from hirefunnel.operators import enrich, metrics, reconcile, serving
 from hirefunnel.schema import KINDS, TRACKING
 
 SF = "/root/testdata/sf0.001"
@@ -231,3 +231,22 @@ def test_actions_have_ids_of_their_own(spark):
     made = rows.select("create_time", (timeuuid_to_timestamp(F.col("create_time")) == at).alias("same")).collect()
     assert len({r.create_time for r in made}) == 1000
     assert all(r.same for r in made)
+
+
+def test_large_and_fine_bids_are_added_exactly(spark):
+    (row,) = hourly(events(spark, event(bid=9e12), event(bid=9e12), event(bid=2.0)))
+    assert (row["spend_hour"], row["clicks"]) == (18e12 + 2, 3)
+    (row,) = hourly(events(spark, event(bid=5e14)))
+    assert row["spend_hour"] == row["bid_set"] == 5e14
+    rows = spark.range(100_000).select(F.lit(4e-7).alias("bid"))
+    (base,) = events(spark, event()).collect()
+    rows = rows.select(*[F.lit(base[n]).alias(n) if n != "bid" else "bid" for n in TRACKING.fieldNames()])
+    assert hourly(rows)[0]["spend_hour"] == 0.04
+
+
+def test_bids_that_cannot_be_added_are_counted(spark):
+    df = events(spark, event(bid=1e15), event(bid=float("nan")), event(bid=None), event(bid=1.0))
+    (row,) = hourly(df)
+    assert (row["spend_hour"], row["bid_set"], row["clicks"]) == (1.0, 1.0, 4)
+    (lost,) = reconcile.unusable_bids(df).collect()
+    assert lost.clicks == 2
