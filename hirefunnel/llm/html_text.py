@@ -78,18 +78,63 @@ class Block:
         return " ".join(unescape("".join(self.parts)).split())
 
 
+@dataclass
+class Open:
+    """An open block-level element, or an inline one that is cut out or stands in one of its name."""
+
+    name: str
+    scope: int
+    bad: bool
+    own: bool = False  # bad by itself, not by what it stands in
+    outer: Block | None = None  # what an inline element is cut out of
+
+
 def blocks(page: str) -> list[tuple[Block, str]]:
     """Blocks with text, in page order."""
     out: list[tuple[Block, str]] = []
-    stack: list[tuple[str, int, bool]] = []  # name, scope, bad
+    stack: list[Open] = []
     now, scopes, links, at = Block(), 0, 0, 0
+    cuts = 0  # inline elements on the stack
+
+    def add(block: Block) -> None:
+        if block.parts and (text := block.text()):
+            out.append((block, text))
+
+    def begun() -> Block:
+        top = stack[-1] if stack else Open("", 0, False)
+        return Block(top.scope, top.bad, any(x.name in ("h1", "h2", "h3") for x in stack[-2:]))
 
     def close() -> None:
         nonlocal now
-        if now.parts and (text := now.text()):
-            out.append((now, text))
-        _, scope, bad = stack[-1] if stack else ("", 0, False)
-        now = Block(scope, bad, any(n in ("h1", "h2", "h3") for n, _, _ in stack[-2:]))
+        flush()
+        add(now)
+        now = begun()
+
+    def flush() -> None:
+        """End the blocks that inline elements are cut out of."""
+        for x in stack if cuts else ():
+            if x.outer:
+                add(x.outer)
+                x.outer = None
+
+    def drop(k: int) -> None:
+        nonlocal cuts
+        flush()
+        cuts -= sum(x.name in INLINE for x in stack[k:])
+        del stack[k:]
+
+    def end_inline(k: int) -> None:
+        nonlocal now, cuts
+        ended = stack.pop(k)
+        cuts -= 1
+        if not ended.own:
+            return
+        for j in range(k, len(stack)):  # what it left open no longer stands in it
+            stack[j].bad = stack[j].own or _inherited(stack[:j], stack[j])
+        if ended.outer:
+            now = ended.outer  # the block goes on as if the element were not there
+        else:
+            close()
 
     while at < len(page):
         mark = page.find("<", at)
@@ -120,13 +165,26 @@ def blocks(page: str) -> list[tuple[Block, str]]:
             continue
         if name in INLINE:
             links = 0 if closing and name == "a" else 1 if name == "a" else links
-            if closing or name in VOID or not (note := _notes(tag[3])) or not _is_bad(note):
+            same = _last(stack, name) if cuts and name not in VOID else -1
+            if closing:
+                if same >= 0:
+                    end_inline(same)
+                continue
+            if name in VOID:
                 continue
-            # An inline element of its own, such as an advert in a span, is cut out as a block.
+            top = stack[-1] if stack else Open("", 0, False)
+            # An inline element of its own, such as an advert in a span, is cut out of its block.
+            if not top.bad and (note := _notes(tag[3])) and _is_bad(note):
+                stack.append(Open(name, top.scope, True, True, now))
+                cuts += 1
+                now = begun()
+            elif same >= 0:  # so that its end is not taken for the end of the one around it
+                stack.append(Open(name, top.scope, top.bad))
+                cuts += 1
+            continue
         if closing:
-            names = [n for n, _, _ in stack]
-            if name in names:
-                del stack[len(names) - 1 - names[::-1].index(name) :]
+            if (k := _last(stack, name)) >= 0:
+                drop(k)
             links = 0
             close()
             continue
@@ -138,23 +196,39 @@ def blocks(page: str) -> list[tuple[Block, str]]:
             links = 0
             close()
             continue
-        if name == "p" and stack and stack[-1][0] == "p":
-            stack.pop()
-        _, scope, bad = stack[-1] if stack else ("", 0, False)
-        outside = name in BOILERPLATE and not (name == "header" and scope and not bad)
+        if name == "p":
+            k = len(stack) - 1
+            while k >= 0 and stack[k].name in INLINE:
+                k -= 1
+            if k >= 0 and stack[k].name == "p":
+                drop(k)
+        top = stack[-1] if stack else Open("", 0, False)
+        outside = name in BOILERPLATE and not (name == "header" and top.scope and not top.bad)
         doubtful = outside or _is_bad(_notes(tag[3]))
-        if name in MAIN and not doubtful:
-            if not scope:
-                scopes += 1
-                scope = scopes
-            bad = False if not _in_aside(stack) else bad
-        stack.append((name, scope, bad or (doubtful and name not in ("html", "body"))))
+        new = Open(name, top.scope, False, doubtful and name not in ("html", "body"))
+        if name in MAIN and not doubtful and not new.scope:
+            scopes += 1
+            new.scope = scopes
+        new.bad = new.own or _inherited(stack, new)
+        stack.append(new)
         links = 0
         close()
     close()
     return out
 
 
+def _last(stack: list[Open], name: str) -> int:
+    """The place of the last open element of this name, or -1."""
+    return next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), -1)
+
+
+def _inherited(stack: list[Open], new: Open) -> bool:
+    """Whether an element is bad for those it stands in. An article only is in menus and the like."""
+    if new.name in MAIN and not new.own:
+        return any(x.bad and x.name in BOILERPLATE for x in stack)
+    return bool(stack) and stack[-1].bad
+
+
 def _notes(attributes: str) -> str:
     if not attributes:
         return ""
@@ -170,10 +244,6 @@ def _is_bad(notes: str) -> bool:
     return hidden or NOT_MAIN.search(values.replace("_", " ") + " " + notes) is not None
 
 
-def _in_aside(stack: list[tuple[str, int, bool]]) -> bool:
-    return any(bad and name in BOILERPLATE for name, _, bad in stack)
-
-
 def _skip(page: str, at: int, name: str) -> int:
     """The place after the end tag; raw elements end at the first one, others when balanced."""
     depth = 1

@@ -43,6 +43,25 @@ def test_long_pages_take_linear_time():
     assert html_text.main_text("<article>" + "<" * 100_000) == "<" * 100_000
 
 
+def test_inline_boilerplate_takes_nothing_that_follows():
+    share = '<a class="share" href=#>Share</a>'
+    icon = '<i class="icon" aria-hidden="true">x</i>'
+    assert html_text.main_text(f"<article>{share}<p>{ARTICLE}</p><p>{ARTICLE}</p></article>") == f"{ARTICLE} {ARTICLE}"
+    assert html_text.main_text(f"<p>Start {icon} rest</p>") == "Start rest"
+    # The paragraph stays one block: neither half is long enough by itself, and links stand nearer.
+    half = len(ARTICLE) // 2
+    menu = "<div><a href=/>one</a> <a href=/>two</a></div>"
+    cut = f"{menu}<p>{ARTICLE[:half]}{icon}{ARTICLE[half:]}</p>{menu}"
+    assert html_text.main_text(cut) == ARTICLE
+    # Spans in an advert, an advert with blocks, unclosed and crossed elements.
+    advert = "<span class=advert>Buy <span>this</span> now</span>"
+    assert html_text.main_text(f"<article>{advert}<p>{ARTICLE}</p>{advert} end</article>") == f"{ARTICLE} end"
+    boxes = "<a class=advert href=/><div>Buy</div><p>this</p></a>"
+    assert html_text.main_text(f"<article>Before {boxes} after<p>{ARTICLE}</p></article>") == f"Before after {ARTICLE}"
+    assert html_text.main_text(f"<article><p>a <span hidden>b<p>{ARTICLE}</p></article>") == f"a {ARTICLE}"
+    assert html_text.main_text(f"<article><a class=advert><div>Buy</a>{ARTICLE}</div></article>") == ARTICLE
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("< > </ <p> </p> <a href='x'> </a> <nav> </nav> &amp; &# \" ' a b <!-- --> <script> </script> <article>".split())).map("".join))
 def test_any_markup(html):
