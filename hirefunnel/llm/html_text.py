@@ -60,9 +60,9 @@ NOT_MAIN = re.compile(
     r"|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget)(?![a-z])"
 )
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
-_ATTRIBUTE = re.compile(
-    r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I
-)
+#: An attribute: its name and the value, which may be quoted.
+_ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/][^\s/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s]++)?+)?+""")
+_NOTED = re.compile(r"class|id|role|hidden", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -229,19 +229,23 @@ def _inherited(stack: list[Open], new: Open) -> bool:
     return bool(stack) and stack[-1].bad
 
 
-def _notes(attributes: str) -> str:
-    if not attributes:
-        return ""
-    found = _ATTRIBUTE.findall(attributes)
-    return " ".join(f"{k.lower()}={v.strip(chr(34) + chr(39)).lower()}" for k, v in found)
+def _notes(attributes: str) -> dict[str, str]:
+    """class, id, role, hidden and aria-hidden of a tag; of repeated ones the first, as in browsers."""
+    found: dict[str, str] = {}
+    if attributes and _NOTED.search(attributes):
+        for name, value in _ATTRIBUTE.findall(attributes):
+            if (name := name.lower()) in ("class", "id", "role", "hidden", "aria-hidden"):
+                value = value[1:-1] if value[:1] in ("'", '"') else value
+                found.setdefault(name, value.strip().lower())
+    return found
 
 
-def _is_bad(notes: str) -> bool:
+def _is_bad(notes: dict[str, str]) -> bool:
     if not notes:
         return False
-    values = " ".join(x.partition("=")[2] for x in notes.split(" ") if not x.startswith("aria-hidden"))
-    hidden = "hidden=" in notes.replace("aria-hidden=", "") or "aria-hidden=true" in notes
-    return hidden or NOT_MAIN.search(values.replace("_", " ") + " " + notes) is not None
+    values = " ".join(v for k, v in notes.items() if k in ("class", "id", "role"))
+    hidden = "hidden" in notes or notes.get("aria-hidden") == "true"
+    return hidden or NOT_MAIN.search(values.replace("_", " ")) is not None
 
 
 def _skip(page: str, at: int, name: str) -> int:

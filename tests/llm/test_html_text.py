@@ -62,6 +62,24 @@ def test_inline_boilerplate_takes_nothing_that_follows():
     assert html_text.main_text(f"<article><a class=advert><div>Buy</a>{ARTICLE}</div></article>") == ARTICLE
 
 
+def test_only_attributes_of_their_own_tell_boilerplate():
+    kept = [
+        "style='overflow:hidden'", 'title="The hidden cost"', "title='a class=\"ad\" is hidden'", "data-hidden",
+        "data-x=hidden", "aria-hidden=false", "class=post data-class=ad", "alt='id=footer role=menu'",
+        "class=post class=advert", "href=/?id=footer",
+    ]
+    for attributes in kept:
+        for name in ("div", "article", "p"):
+            assert html_text.main_text(f"<{name} {attributes}>{ARTICLE}</{name}>") == ARTICLE, (name, attributes)
+    lost = [
+        "hidden", "HIDDEN=''", "x hidden", "style='a:b'hidden", "hidden=until-found", "aria-hidden = 'true'",
+        "ID = footer", "title='post'class='x advert'", "role=menu", "/class=\"advert\"",
+    ]
+    for attributes in lost:
+        html = f"<article>{ARTICLE}<div {attributes}>Buy this</div></article>"
+        assert html_text.main_text(html) == ARTICLE, attributes
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("< > </ <p> </p> <a href='x'> </a> <nav> </nav> &amp; &# \" ' a b <!-- --> <script> </script> <article>".split())).map("".join))
 def test_any_markup(html):
