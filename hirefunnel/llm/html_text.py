@@ -7,7 +7,8 @@ block the label of its nearest decided neighbours. Kept blocks are joined by one
 First pass, in this order:
   bad        the block stands in a menu, header, footer, sidebar, notice, advert, form, reader
              comment or the like; or links make up more than MOST_LINKS of it; or it is a
-             copyright line outside an article
+             copyright line outside an article. A class, id or role of NOT_MAIN does not count for
+             a block of an article or main element that is LONG with a share of STOP_HIGH
   good       at least LONG characters, and a share of stop words of at least STOP_HIGH; or LONG
              and inside an article or main element
   bad        LONG outside of these, with a share of stop words below STOP_LOW
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -52,13 +54,27 @@ SILENT = frozenset(
 RAW = frozenset("script style textarea title iframe noscript".split())
 BOILERPLATE = frozenset("nav footer aside form dialog menu header fieldset".split())
 MAIN = frozenset("article main".split())
-#: Words in class, id or role that tell an element is not part of the article.
-NOT_MAIN = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertisements?|advertising|banner|breadcrumbs?|comments?|consent"
-    r"|contentinfo|cookies?|copyright|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation"
-    r"|newsletter|notices?|pagination|popup|promo|promoted|related|replies|respond|share|sharing"
-    r"|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget)(?![a-z])"
+#: Names in class, id or role that tell an element is not part of the article, whole ones only.
+NOT_MAIN = frozenset(
+    """banner breadcrumb breadcrumbs contentinfo copyright footer masthead menu modal nav navbar
+    navigation newsletter notice notices pagination popup promo promoted related share sharing sidebar
+    signup social sponsor sponsored subscribe toolbar widget""".split()
 )
+#: Adverts and readers' comments, and in class or role also these: no length makes them the article.
+#: As an id the latter are the topic of a section just as often.
+NEVER_MAIN = frozenset(
+    """ad ads advert adverts advertisement advertisements comment comments disqus replies respond""".split()
+)
+NEVER_CLASS = frozenset("advertising consent cookie cookies gdpr".split())
+#: What may stand beside such a name, as in ad-box or site-footer. Modifiers such as has- and no-, and
+#: topics as in related-work, may not.
+BESIDE = frozenset(
+    """area article articles bar block bottom box button buttons c container entry form global inner
+    item items js label link links list panel post posts primary secondary site slot stories top unit
+    wrap wrapper""".split()
+)
+KNOWN = {"main-nav": 1, "main-menu": 1, "main-navigation": 1, "page-footer": 1, "page-nav": 1}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 #: An attribute: its name and the value, which may be quoted.
 _ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/][^\s/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s]++)?+)?+""")
@@ -70,6 +86,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Block:
     scope: int = 0  # number of the article that it stands in; 0: none
     bad: bool = False
+    named: bool = False  # bad for a name only, so that its text may show otherwise
     heading: bool = False
     parts: list[str] = field(default_factory=list)
     linked: int = 0
@@ -84,8 +101,8 @@ class Open:
 
     name: str
     scope: int
-    bad: bool
-    own: bool = False  # bad by itself, not by what it stands in
+    bad: int  # 1 for a name of NOT_MAIN, 2 for any other reason
+    own: int = 0  # bad by itself, not by what it stands in
     outer: Block | None = None  # what an inline element is cut out of
 
 
@@ -95,14 +112,16 @@ def blocks(page: str) -> list[tuple[Block, str]]:
     stack: list[Open] = []
     now, scopes, links, at = Block(), 0, 0, 0
     cuts = 0  # inline elements on the stack
+    held: list[Open] = []  # those of them whose outer block may go on
 
     def add(block: Block) -> None:
         if block.parts and (text := block.text()):
+            block.bad |= block.named and not _shown(block, text)
             out.append((block, text))
 
     def begun() -> Block:
-        top = stack[-1] if stack else Open("", 0, False)
-        return Block(top.scope, top.bad, any(x.name in ("h1", "h2", "h3") for x in stack[-2:]))
+        top = stack[-1] if stack else Open("", 0, 0)
+        return Block(top.scope, top.bad > 1, top.bad == 1, any(x.name in ("h1", "h2", "h3") for x in stack[-2:]))
 
     def close() -> None:
         nonlocal now
@@ -112,10 +131,10 @@ def blocks(page: str) -> list[tuple[Block, str]]:
 
     def flush() -> None:
         """End the blocks that inline elements are cut out of."""
-        for x in stack if cuts else ():
-            if x.outer:
-                add(x.outer)
-                x.outer = None
+        for x in held:
+            add(x.outer)
+            x.outer = None
+        held.clear()
 
     def drop(k: int) -> None:
         nonlocal cuts
@@ -129,10 +148,13 @@ def blocks(page: str) -> list[tuple[Block, str]]:
         cuts -= 1
         if not ended.own:
             return
-        for j in range(k, len(stack)):  # what it left open no longer stands in it
-            stack[j].bad = stack[j].own or _inherited(stack[:j], stack[j])
-        if ended.outer:
-            now = ended.outer  # the block goes on as if the element were not there
+        inside = stack[k:]
+        del stack[k:]
+        for x in inside:  # what it left open no longer stands in it
+            x.bad = max(x.own, _inherited(stack, x))
+            stack.append(x)
+        if ended.outer and ended is held[-1] and not (now.named and _shown(now, now.text())):
+            now = held.pop().outer  # the block goes on as if the element were not there
         else:
             close()
 
@@ -172,10 +194,11 @@ def blocks(page: str) -> list[tuple[Block, str]]:
                 continue
             if name in VOID:
                 continue
-            top = stack[-1] if stack else Open("", 0, False)
+            top = stack[-1] if stack else Open("", 0, 0)
             # An inline element of its own, such as an advert in a span, is cut out of its block.
-            if not top.bad and (note := _notes(tag[3])) and _is_bad(note):
-                stack.append(Open(name, top.scope, True, True, now))
+            if top.bad < 2 and (own := _badness(name, _notes(tag[3]), top.scope)) > top.bad:
+                stack.append(Open(name, top.scope, own, own, now))
+                held.append(stack[-1])
                 cuts += 1
                 now = begun()
             elif same >= 0:  # so that its end is not taken for the end of the one around it
@@ -202,14 +225,14 @@ def blocks(page: str) -> list[tuple[Block, str]]:
                 k -= 1
             if k >= 0 and stack[k].name == "p":
                 drop(k)
-        top = stack[-1] if stack else Open("", 0, False)
+        top = stack[-1] if stack else Open("", 0, 0)
         outside = name in BOILERPLATE and not (name == "header" and top.scope and not top.bad)
-        doubtful = outside or _is_bad(_notes(tag[3]))
-        new = Open(name, top.scope, False, doubtful and name not in ("html", "body"))
-        if name in MAIN and not doubtful and not new.scope:
+        own = 2 if outside else _badness(name, _notes(tag[3]), top.scope)
+        new = Open(name, top.scope, 0, own if name not in ("html", "body") else 0)
+        if name in MAIN and own < 2 and not new.scope:
             scopes += 1
             new.scope = scopes
-        new.bad = new.own or _inherited(stack, new)
+        new.bad = max(new.own, _inherited(stack, new))
         stack.append(new)
         links = 0
         close()
@@ -222,11 +245,11 @@ def _last(stack: list[Open], name: str) -> int:
     return next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), -1)
 
 
-def _inherited(stack: list[Open], new: Open) -> bool:
-    """Whether an element is bad for those it stands in. An article only is in menus and the like."""
-    if new.name in MAIN and not new.own:
-        return any(x.bad and x.name in BOILERPLATE for x in stack)
-    return bool(stack) and stack[-1].bad
+def _inherited(stack: list[Open], new: Open) -> int:
+    """How bad an element is for those it stands in. An article only is in menus and the like."""
+    if new.name in MAIN and new.own < 2 and not any(x.bad and x.name in BOILERPLATE for x in stack):
+        return 0
+    return stack[-1].bad if stack else 0
 
 
 def _notes(attributes: str) -> dict[str, str]:
@@ -240,12 +263,33 @@ def _notes(attributes: str) -> dict[str, str]:
     return found
 
 
-def _is_bad(notes: dict[str, str]) -> bool:
+def _badness(element: str, notes: dict[str, str], scope: int) -> int:
+    """0, 1 for a name of NOT_MAIN, or 2. A heading's id in an article is its topic."""
     if not notes:
-        return False
-    values = " ".join(v for k, v in notes.items() if k in ("class", "id", "role"))
-    hidden = "hidden" in notes or notes.get("aria-hidden") == "true"
-    return hidden or NOT_MAIN.search(values.replace("_", " ")) is not None
+        return 0
+    if "hidden" in notes or notes.get("aria-hidden") == "true":
+        return 2
+    skip = "id" if scope and element in HEADINGS else ""
+    return max((_named(k, v) for k, v in notes.items() if k != "aria-hidden" and k != skip), default=0)
+
+
+@lru_cache(4096)
+def _named(attribute: str, value: str) -> int:
+    worst = 0
+    for name in value.split():
+        name = name.partition("--")[0].replace("_", "-")  # block__element--modifier
+        parts = [x for x in (p.rstrip("0123456789") for p in name.split("-")) if x and not x[0].isdigit()]
+        never = NEVER_MAIN if attribute == "id" else NEVER_MAIN | NEVER_CLASS
+        told = [p for p in parts if p in NOT_MAIN or p in NEVER_MAIN or p in NEVER_CLASS]
+        if told and all(p in BESIDE for p in parts if p not in told):
+            worst = max(worst, 2 if any(p in never for p in told) else 1)
+        worst = max(worst, KNOWN.get(name, 0))
+    return worst
+
+
+def _shown(block: Block, text: str) -> bool:
+    """Whether a text of an article is long and has enough stop words to leave it to the passes."""
+    return bool(block.scope) and len(text) >= LONG and _share(text) >= STOP_HIGH
 
 
 def _skip(page: str, at: int, name: str) -> int:
@@ -269,13 +313,18 @@ def decide(block: Block, text: str) -> int:
         return -1
     if len(text) < LONG:
         return 0
-    words = _WORD.findall(text.lower())
-    share = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    share = _share(text)
     if share >= STOP_HIGH or block.scope:
         return 1
     return -1 if share < STOP_LOW else 0
 
 
+def _share(text: str) -> float:
+    """The share of stop words."""
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     labels = [decide(b, t) for b, t in found]

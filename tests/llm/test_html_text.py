@@ -80,6 +80,31 @@ def test_only_attributes_of_their_own_tell_boilerplate():
         assert html_text.main_text(html) == ARTICLE, attributes
 
 
+def test_names_of_layouts_and_topics_are_kept():
+    for names in ("col has-sidebar", "no-sidebar", "with-ads", "sidebar-left", "nav-open", "page--no-sidebar"):
+        assert html_text.main_text(f'<div id=content class="{names}"><p>{ARTICLE}</p></div>') == ARTICLE, names
+    for names in ("post has-comments", "post sponsored", "no-share"):
+        assert html_text.main_text(f'<article class="{names}"><p>{ARTICLE}</p></article>') == ARTICLE, names
+    parts = f'<section id="related-work"><p>{ARTICLE}</p></section><h2 id="social-impact">Social</h2><p>{ARTICLE}</p>'
+    assert html_text.main_text(f"<article>{parts}</article>") == f"{ARTICLE} Social {ARTICLE}"
+    # Whole names: a heading's topic, and long prose of an article, also in a span.
+    topic = f'<h2 id=cookies>Cookies</h2><section id=advertising class=notice><p>{ARTICLE}</p><p>Short</p></section>'
+    assert html_text.main_text(f"<main>{topic}</main>") == f"Cookies {ARTICLE}"
+    span = f"<p>Before <span class=notice>{ARTICLE}</span> after {ARTICLE}</p>"
+    assert html_text.main_text(f"<main>{span}</main>") == f"Before {ARTICLE} after {ARTICLE}"
+
+
+def test_whole_names_and_known_pairs_are_left_out():
+    names = """ad ads ad-box ad-300x250 ad1 comments comment-12 comments-area cookie-banner site-footer share-buttons
+    article__share post-comments related-posts social-links newsletter_signup widget-area main-nav x--y""".split()
+    for name in names:
+        html = f'<article><p>{ARTICLE}</p><div class="{name}">Buy this</div></article>'
+        assert html_text.main_text(html) == ARTICLE + (" Buy this" if name == "x--y" else ""), name
+    # Adverts and readers' comments go at any length.
+    for name in ("advert", "comments", "comment-12 even", "cookie-consent"):
+        assert html_text.main_text(f'<article><p>{ARTICLE}</p><p class="{name}">{ARTICLE}</p></article>') == ARTICLE
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("< > </ <p> </p> <a href='x'> </a> <nav> </nav> &amp; &# \" ' a b <!-- --> <script> </script> <article>".split())).map("".join))
 def test_any_markup(html):
