@@ -19,7 +19,8 @@ for the element they stand in say nothing about what follows them and are no nei
 without any neighbour is good.
 
 Scripts, styles, comments and other elements without text are dropped; an unfinished tag, comment
-or script takes the rest of the page, as in browsers. Character references are decoded once.
+or script takes the rest of the page, as in browsers. A tag ends at the first ">" that stands in no
+quoted value, whatever stray quotes it has; a quote that is never closed holds nothing. Character references are decoded once.
 A null or empty page gives an empty text. Every row comes back once, repeated rows too; an empty
 table gives none. Pages of any length are read whole, in time proportional to their length.
 """
@@ -75,9 +76,13 @@ BESIDE = frozenset(
 )
 KNOWN = {"main-nav": 1, "main-menu": 1, "main-navigation": 1, "page-footer": 1, "page-nav": 1}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
-#: An attribute: its name and the value, which may be quoted.
-_ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/][^\s/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s]++)?+)?+""")
+#: Only after "name=" quotes hold a value together, up to their counterpart; any other quote is a
+#: character like others, as in browsers.
+_NAME, _VALUE = r"[^\s/>][^\s/>=]*+", r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
+_ATTRIBUTE = re.compile(rf"[\s/]*+({_NAME})(?:\s*+=\s*+({_VALUE})?+)?+")
+_TAG = re.compile(
+    rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]*+{_NAME}(?:\s*+=\s*+{_VALUE}?+)?+)*+)([\s/]*+)>"
+)
 _NOTED = re.compile(r"class|id|role|hidden", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -211,11 +216,11 @@ def blocks(page: str) -> list[tuple[Block, str]]:
             links = 0
             close()
             continue
-        if name in SILENT and not tag[3].endswith("/"):
+        if name in SILENT and not tag[4].endswith("/"):
             at = _skip(page, at, name)
             if name not in ("option", "button"):
                 continue
-        if name in VOID or tag[3].endswith("/"):
+        if name in VOID or tag[4].endswith("/"):
             links = 0
             close()
             continue
@@ -258,7 +263,8 @@ def _notes(attributes: str) -> dict[str, str]:
     if attributes and _NOTED.search(attributes):
         for name, value in _ATTRIBUTE.findall(attributes):
             if (name := name.lower()) in ("class", "id", "role", "hidden", "aria-hidden"):
-                value = value[1:-1] if value[:1] in ("'", '"') else value
+                quoted = len(value) > 1 and value[0] == value[-1] and value[0] in "'\""
+                value = value[1:-1] if quoted else value
                 found.setdefault(name, value.strip().lower())
     return found
 

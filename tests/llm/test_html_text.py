@@ -105,6 +105,23 @@ def test_whole_names_and_known_pairs_are_left_out():
         assert html_text.main_text(f'<article><p>{ARTICLE}</p><p class="{name}">{ARTICLE}</p></article>') == ARTICLE
 
 
+def test_stray_quotes_do_not_hold_a_tag_open():
+    after = f"<p>{ARTICLE}</p><p class='x' title=\"y\">{ARTICLE}</p>"
+    tags = [
+        "<p title=don't>", '<b title="x"">', "<p 'x>", '<p x"y>', "<p title=5\">", "<p a='b'c'>", "<p/'>", "<p = '>",
+        "<p a=b\"c'd>", "<p a='>'>", '<p a = ">" b>',
+    ]
+    for tag in tags:
+        for rest in (after, f"<p>{ARTICLE}</p><p>{ARTICLE}</p>"):
+            assert html_text.main_text(tag + "One. " + rest) == f"One. {ARTICLE} {ARTICLE}", tag
+    # A quoted value whose quote never comes ends at the next ">", an unfinished tag takes the rest.
+    assert html_text.main_text(f'<p title="x>{ARTICLE}</p>') == ARTICLE
+    assert html_text.main_text("a<p title='x>' b") == "a"
+    # The slash of an unquoted value closes no element.
+    assert html_text.main_text(f"<article>{ARTICLE}<div class=advert data-to=/>Buy</div></article>") == ARTICLE
+    assert html_text.main_text("<p a='" * 50_000 + f">{ARTICLE}") == ARTICLE
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("< > </ <p> </p> <a href='x'> </a> <nav> </nav> &amp; &# \" ' a b <!-- --> <script> </script> <article>".split())).map("".join))
 def test_any_markup(html):
