@@ -6,9 +6,12 @@ Texts are equal when their bytes are, after lower-casing A-Z; a null text is an
    each group of equal texts is folded into one row. A text that a third of all rows share
    leaves a batch once, so no later group holds more rows than there are batches.
 2. The folded texts are dealt out by their leading bytes. A prefix that holds more than
-   `limit` bytes is lengthened, level by level, until it holds less or has one text left.
-3. Each partition is split by successive bytes again; what stays together to the end of the
-   text is equal. No digest decides anything.
+   `limit` bytes is lengthened, level by level and without a last level, until it holds less or
+   has one text left. A row is known by the number of its heavy prefix and the next slice of its
+   text, so no key repeats the bytes of earlier levels.
+3. Heavy prefixes with one text left are folded by their numbers, wherever their rows are. Each
+   partition of the others is split by successive bytes again; what stays together to the end of
+   the text is equal. No digest decides anything.
 
 Every input row comes back once. Of equal texts one row stays: the one with the largest id, and
 of rows that share that id too, one of them. A null id is smaller than any other. An empty table
@@ -28,8 +31,9 @@ from pyspark.sql import functions as F
 
 from hirefunnel.llm.common import partitions, stored, texts_of
 
-#: Lengths of the prefixes that texts are dealt out by.
-LEVELS = (8, 32, 128, 512, 2048, 8192)
+#: Length of the prefixes that texts are dealt out by at first; each level makes them LONGER times as long.
+FIRST, LONGER = 8, 4
+MOST_BYTES = 2**31 - 1
 NULL_ID = -(2**63)
 BROADCAST_BYTES = 16 << 20
 
@@ -75,7 +79,7 @@ def exact_groups(
         _fold, "local long, id long, key long, leads boolean, size long, body binary"
     )
     folded = stored(folded, "exact-folded")
-    final = _resolved(_dealt(folded.where("body IS NOT NULL").drop("leads", "key"), limit))
+    final = _final(folded.where("body IS NOT NULL").drop("leads", "key"), limit)
     members = folded.where("body IS NULL").select("local", "id", "key", "leads")
     return members.join(final, "local").select(
         _nullable("id").alias(id_col),
@@ -132,23 +136,86 @@ def _nullable(name: str) -> Column:
     return F.when(F.col(name) != NULL_ID, F.col(name))
 
 
-def _dealt(groups: DataFrame, limit: int) -> DataFrame:
-    """Folded texts, dealt out by prefixes that hold at most `limit` bytes or one text."""
+def _final(groups: DataFrame, limit: int) -> DataFrame:
+    """What `_resolved` gives, for every folded text."""
     total = groups.agg(F.sum(F.length("body"))).first()[0] or 0
-    dealt = groups.withColumn("prefix", F.substring("body", 1, LEVELS[0]))
-    for depth, longer in zip(LEVELS, LEVELS[1:], strict=False):
-        start = F.substring("body", 1, depth).alias("prefix")
-        held = groups.groupBy(start).agg(F.sum(F.length("body")).alias("bytes"), F.count("*").alias("n"))
-        heavy = held.where((F.col("bytes") > limit) & (F.col("n") > 1))
-        heavy = stored(heavy.select("prefix", F.lit(True).alias("heavy")), "exact-heavy")
-        # At most total / limit prefixes; their number decides how they are joined.
-        n = heavy.count()
+    dealt, ones = _dealt(groups, limit)
+    parts = max(partitions(groups), 2 * total // limit)
+    rest = _resolved(dealt.where("NOT one").repartition(parts, "level", "path", _slice()))
+    if not ones:
+        return rest
+    # At most total / limit texts, with copies in many batches: partial sums fold them in each task.
+    copies = dealt.where("one")
+    found = copies.groupBy("path").agg(
+        F.max(F.struct("id", "local")).alias("best"),
+        F.sum("size").alias("group_size"),
+        F.max(F.sha2("body", 256)).alias("text_sha256"),
+    )
+    folded = copies.select("local", "path").join(F.broadcast(found), "path")
+    return rest.unionByName(
+        folded.select(
+            "local",
+            F.col("best.id").alias("keep_id"),
+            F.col("best.local").alias("keep_local"),
+            "group_size",
+            "text_sha256",
+        )
+    )
+
+
+def _slice() -> Column:
+    return F.expr("substring(body, start + 1, width)")
+
+
+def _dealt(groups: DataFrame, limit: int) -> tuple[DataFrame, bool]:
+    """Folded texts with the prefix that each is dealt out by, and whether any are marked `one`.
+
+    A prefix is the last slice of it and `path`, the number of the heavy prefix of the level before.
+    It holds at most `limit` bytes or one row; or one text in many rows, marked `one`.
+    """
+    dealt = groups.selectExpr("*", "0L path", "0 level", "0 start", f"{FIRST} width", "false one")
+    level, ones = 0, False
+    while True:
+        size, digest = F.length("body"), F.xxhash64("body")
+        held = (
+            dealt.where((F.col("level") == level) & ~F.col("one"))
+            .groupBy("path", "start", "width", _slice().alias("slice"))
+            .agg(
+                F.sum(size).alias("bytes"),
+                F.count("*").alias("n"),
+                F.max(size).alias("longest"),
+                (F.min(digest) == F.max(digest)).alias("alike"),
+            )
+        )
+        end = F.col("start").cast("long") + F.col("width")
+        # Rows that seem to be equal are compared whole at the next level. `alike` decides no more.
+        longer = F.when(F.col("alike"), F.col("longest") - end).otherwise((LONGER - 1) * end)
+        heavy = held.where((F.col("bytes") > limit) & (F.col("n") > 1)).select(
+            F.col("path").alias("old_path"),
+            F.lit(level).alias("old_level"),
+            "slice",
+            F.monotonically_increasing_id().alias("new_path"),
+            (F.col("longest") <= end).alias("ended"),
+            F.least(end, F.lit(MOST_BYTES)).cast("int").alias("new_start"),
+            F.greatest(F.least(longer, MOST_BYTES - end), F.lit(0)).cast("int").alias("new_width"),
+        )
+        heavy = stored(heavy, "exact-heavy")
+        # At most total / limit prefixes; their size decides how they are joined.
+        n, size, ended = heavy.agg(F.count("*"), F.sum(F.length("slice")), F.max("ended")).first()
         if not n:
-            break
-        heavy = F.broadcast(heavy) if n * depth <= BROADCAST_BYTES else heavy
-        more = F.when(F.col("heavy"), F.substring("body", 1, longer)).otherwise(F.col("prefix"))
-        dealt = dealt.join(heavy, "prefix", "left").withColumn("prefix", more).drop("heavy")
-    return dealt.repartition(max(partitions(groups), 2 * total // limit), "prefix")
+            return dealt, ones
+        ones = ones or ended
+        heavy = F.broadcast(heavy) if size <= BROADCAST_BYTES else heavy
+        same = (F.col("path") == F.col("old_path")) & (F.col("level") == F.col("old_level"))
+        dealt = dealt.join(heavy, same & (_slice() == F.col("slice")) & ~F.col("one"), "left").select(
+            *groups.columns,
+            F.coalesce("new_path", "path").alias("path"),
+            F.when(F.col("new_path").isNull(), F.col("level")).otherwise(level + 1).alias("level"),
+            F.coalesce("new_start", "start").alias("start"),
+            F.coalesce("new_width", "width").alias("width"),
+            F.coalesce("ended", "one").alias("one"),
+        )
+        level += 1
 
 
 def _resolved(dealt: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from llm import brute
 from llm.fixtures import empty, listed, odd, repeated_rows, table
+from pyspark.sql import functions as F
 
 from hirefunnel.llm import exact_dedup
 
@@ -43,6 +44,37 @@ def test_prefixes_that_hold_too_much_are_lengthened(spark):
     assert listed(exact_dedup.exact_groups(rows, limit=100)) == want
 
 
+def loads(monkeypatch, rows, limit):
+    """What exact_groups gives, and the bytes of text in each task that compares them."""
+    held, resolved = [], exact_dedup._resolved
+
+    def spy(dealt):
+        parts = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.length("body")).alias("bytes"))
+        held.extend(r.bytes for r in parts.collect())
+        return resolved(dealt)
+
+    monkeypatch.setattr(exact_dedup, "_resolved", spy)
+    return listed(exact_dedup.exact_groups(rows, limit=limit)), max(held, default=0)
+
+
+def test_no_last_level_of_prefixes(spark, monkeypatch):
+    # 60 rows share their first 40,000 bytes, one text ends there, some go on for long.
+    begin = "the same template " * 2222 + "abcd"
+    texts = [begin, *[f"{begin}{k % 40}{'z' * 1000 * (k % 3)}" for k in range(60)], "other", ""]
+    assert len(begin) == 40_000
+    out, most = loads(monkeypatch, table(spark, texts).repartition(4), 50_000)
+    assert out == expected(list(enumerate(texts)))
+    assert most < sum(map(len, texts)) / 4
+
+
+def test_copies_of_one_long_text_do_not_meet_in_a_task(spark, monkeypatch):
+    # Each row is a batch of its own, so that copies only meet later.
+    texts = ["long text " * 3000] * 40 + ["Long text " * 3000 + "more"] * 10 + ["short"] * 3
+    out, most = loads(monkeypatch, table(spark, texts).repartition(len(texts)), 50_000)
+    assert out == expected(list(enumerate(texts)))
+    assert most < sum(map(len, texts)) / 4
+
+
 def test_one_of_repeated_rows_stays(spark):
     rows = repeated_rows(spark)
     out = exact_dedup.exact_groups(rows).collect()
