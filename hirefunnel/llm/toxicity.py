@@ -2,8 +2,9 @@
 
 A word is the bag of its character n-grams (with marks for its ends) and itself, hashed into a
 fixed number of buckets; a word's vector is the average over its bag. Only buckets whose share of
-texts differs between the labels by at least `least_z` standard errors have a vector, the others
-count as nothing, so that chance n-grams of a few texts are not learnt by heart. A text is the
+texts differs between the labels by at least `least_z` standard errors in `least` texts, or so much
+that less than one n-gram in all would by chance, have a vector, the others count as nothing, so that
+chance n-grams of a few texts are not learnt by heart. A text is the
 average of its words' vectors, each word weighing as much as the share of its bag that has a
 vector; so a few rude words are not thinned out by a long text. A linear softmax gives the
 probability. Vectors and softmax are trained together, so an unseen misspelling shares most vectors
@@ -91,7 +92,8 @@ class Scorer(dict):
 
 
 def telling(bags: list[np.ndarray], y: np.ndarray, least: int, least_z: float) -> np.ndarray:
-    """Buckets in at least `least` texts whose shares of the two labels' texts differ clearly."""
+    """Buckets whose shares of the two labels' texts differ clearly: in `least` texts and by
+    `least_z` standard errors, or beyond chance however few texts there are."""
     rude = np.zeros(BUCKETS)
     total = np.zeros(BUCKETS)
     for own, label in zip(bags, y, strict=True):
@@ -102,7 +104,29 @@ def telling(bags: list[np.ndarray], y: np.ndarray, least: int, least_z: float) -
     share = total / len(y)
     error = np.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
     difference = np.abs(rude / n1 - (total - rude) / n0)
-    return (total >= least) & (difference >= least_z * error) & (error > 0)
+    out = (total >= least) & (difference >= least_z * error) & (error > 0)
+    # Standard errors say little of a few texts, so rare n-grams are held against the exact chance.
+    some = np.flatnonzero(total > 1)
+    if len(some):
+        out[some] |= by_chance(rude[some], total[some], int(n1), int(n0)) * len(some) <= 1
+    return out
+
+
+def by_chance(rude: np.ndarray, total: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """The chance that of `total` texts, drawn from n1 toxic and n0 clean ones, as many or more than
+    `rude` are toxic, or as many or fewer if that is less likely."""
+    factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n1 + n0 + 1)))])
+
+    def choose(n: int, k: np.ndarray) -> np.ndarray:
+        return factorial[n] - factorial[k] - factorial[n - k]
+
+    pairs, where = np.unique(np.stack([rude, total], 1).astype(np.int64), axis=0, return_inverse=True)
+    out = np.empty(len(pairs))
+    for i, (r, c) in enumerate(pairs.tolist()):
+        k = np.arange(max(0, c - n0), min(c, n1) + 1)
+        share = np.exp(choose(n1, k) + choose(n0, c - k) - choose(n1 + n0, np.array(c)))
+        out[i] = min(share[k >= r].sum(), share[k <= r].sum())
+    return out[where.ravel()]
 
 
 def train(

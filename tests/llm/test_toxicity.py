@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from llm.fixtures import empty, odd, table, words
 from pyspark.sql import functions as F
 
@@ -35,6 +36,28 @@ def test_held_out_accuracy(spark):
     assert sum(p == t for p, t in unseen) >= 0.97 * len(unseen)
 
 
+def test_few_toxic_labels_are_learnt_from():
+    texts, labels = corpus()
+    clean = [texts[i].encode() for i, _, t in labels if not t]
+    rude = [texts[i].encode() for i, _, t in labels if t]
+    for n in (5, 8):
+        model = toxicity.train(rude[:n] + clean[:400], [1] * n + [0] * 400)
+        score = toxicity.Scorer(model).score
+        found = [score(t) >= 0.5 for t in rude[n:]]
+        assert sum(found) >= 0.5 * len(found), n
+        assert sum(score(t) >= 0.5 for t in clean[400:]) <= 0.02 * len(clean[400:])
+
+
+def test_chance_is_that_of_drawing():
+    from math import comb
+
+    for rude, total in ((2, 3), (0, 4), (3, 3), (1, 9)):
+        each = [comb(5, k) * comb(20, total - k) / comb(25, total) for k in range(min(total, 5) + 1)]
+        want = min(sum(each[rude:]), sum(each[: rude + 1]))
+        got = toxicity.by_chance(np.array([rude]), np.array([total]), 5, 20)
+        assert abs(got[0] - want) < 1e-9
+
+
 def test_labels_of_held_out_rows_change_nothing(spark):
     texts, labels = corpus()
     rows, marks = table(spark, texts, extra=True), spark.createDataFrame(labels, LABELS)
