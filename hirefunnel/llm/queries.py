@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hirefunnel.llm import (
     automaton_dedup,
     bpe,
+    centroids,
     exact_dedup,
     html_text,
     mixing,
@@ -20,8 +20,15 @@ from hirefunnel.llm import (
     toxicity,
 )
 from hirefunnel.llm.common import documents
+from hirefunnel.llm.oracle import CENTROIDS
+
+
+def vocabulary() -> str:
+    """Path of the vocabulary file; looked up where it is used, so the rest works without it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,13 +65,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encoded_digests(documents(spark, sf_dir), VOCABULARY)
+    return bpe.encoded_digests(documents(spark, sf_dir), vocabulary())
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).drop("key", "copies")
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -76,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_mixing": op10_mixing,
+    "op12_centroids": op12_centroids,
 }
 
 ORACLE: dict[str, str] = {
@@ -86,4 +98,5 @@ ORACLE: dict[str, str] = {
                                        'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
         WINDOW same AS (PARTITION BY body)
     """,
+    "op12_centroids": CENTROIDS,
 }

@@ -11,7 +11,7 @@ from llm.fixtures import empty, odd_texts, table, words
 from tokenizers import Tokenizer
 
 from hirefunnel.llm import mixing, quality
-from hirefunnel.llm.queries import VOCABULARY
+from hirefunnel.llm.queries import vocabulary
 
 
 def corpus():
@@ -60,7 +60,7 @@ def test_stages(spark, folder_of_tables):
 def test_run_encodes_the_mix(spark, folder_of_tables):
     out = corpus_pipeline.run(spark, folder_of_tables).collect()
     assert out
-    library, texts = Tokenizer.from_file(VOCABULARY), corpus()
+    library, texts = Tokenizer.from_file(vocabulary()), corpus()
     for r in out:
         ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
         assert r.n_tokens == len(ids)
