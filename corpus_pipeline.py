@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hirefunnel.llm import bpe, exact_dedup, mixing, quality, simhash
 from hirefunnel.llm.common import documents, stored
-from hirefunnel.llm.queries import VOCABULARY
+from hirefunnel.llm.queries import vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encoded_digests(docs, VOCABULARY)
+    return bpe.encoded_digests(docs, vocabulary())
 
 
 STAGES = [
