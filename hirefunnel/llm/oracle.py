@@ -42,3 +42,12 @@ FROM a{rounds} a JOIN c{rounds} c ON a.cluster = c.cluster
 
 
 CENTROIDS = _centroids()
+
+WARC = """
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest,
+             min(page_id) OVER (PARTITION BY body) AS first
+      FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))
+"""

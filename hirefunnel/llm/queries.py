@@ -18,9 +18,11 @@ from hirefunnel.llm import (
     simhash,
     suffix_dedup,
     toxicity,
+    warc,
 )
 from hirefunnel.llm.common import documents
-from hirefunnel.llm.oracle import CENTROIDS
+from hirefunnel.llm.oracle import CENTROIDS, WARC
+from hirefunnel.workspace import scratch
 
 
 def vocabulary() -> str:
@@ -72,6 +74,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).drop("key", "copies")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    warc.archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return warc.records(spark, folder)
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_mixing": op10_mixing,
+    "op11_warc": op11_warc,
     "op12_centroids": op12_centroids,
 }
 
@@ -98,5 +107,6 @@ ORACLE: dict[str, str] = {
                                        'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
         WINDOW same AS (PARTITION BY body)
     """,
+    "op11_warc": WARC,
     "op12_centroids": CENTROIDS,
 }
