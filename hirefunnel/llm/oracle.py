@@ -51,3 +51,33 @@ FROM (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body)
              min(page_id) OVER (PARTITION BY body) AS first
       FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))
 """
+
+_TERMS = r"""
+  SELECT {key}, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM {table}"""
+
+LEXICAL = f"""
+WITH counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM ({_TERMS.format(key="doc_id", table="documents")}) GROUP BY ALL
+), lengths AS (SELECT doc_id, cast(sum(tf) AS bigint) AS n FROM counts GROUP BY doc_id
+), totals AS (SELECT count(*) AS docs, cast(sum(n) AS bigint) AS terms FROM lengths
+), norms AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM lengths, totals
+), weights AS (
+  SELECT term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS bigint) AS w
+  FROM counts, totals GROUP BY term
+), wanted AS (
+  SELECT item_id, term, count(*) AS times
+  FROM ({_TERMS.format(key="item_id", table="benchmark")}) GROUP BY ALL
+), scores AS (
+  SELECT item_id, doc_id,
+         cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS bigint) AS score
+  FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN norms USING (doc_id)
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, cast(row_number() OVER best AS integer) AS rank, doc_id, score
+FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY rank <= 20
+"""

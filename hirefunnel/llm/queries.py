@@ -12,6 +12,7 @@ from hirefunnel.llm import (
     centroids,
     exact_dedup,
     html_text,
+    lexical,
     mixing,
     quality,
     sharding,
@@ -21,7 +22,7 @@ from hirefunnel.llm import (
     warc,
 )
 from hirefunnel.llm.common import documents
-from hirefunnel.llm.oracle import CENTROIDS, WARC
+from hirefunnel.llm.oracle import CENTROIDS, LEXICAL, WARC
 from hirefunnel.workspace import scratch
 
 
@@ -84,6 +85,11 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.ranked(documents(spark, sf_dir), items)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_warc": op11_warc,
     "op12_centroids": op12_centroids,
+    "op13_lexical": op13_lexical,
 }
 
 ORACLE: dict[str, str] = {
@@ -109,4 +116,5 @@ ORACLE: dict[str, str] = {
     """,
     "op11_warc": WARC,
     "op12_centroids": CENTROIDS,
+    "op13_lexical": LEXICAL,
 }
