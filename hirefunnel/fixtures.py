@@ -6,10 +6,11 @@ them is used; ids are folded to few values so that hours hold several events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hirefunnel.functions.envelope import to_envelope
 from hirefunnel.functions.timeuuid import timestamp_to_timeuuid
 from hirefunnel.operators.enrich import job_columns
 from hirefunnel.operators.merge import to_fact, union_sources
@@ -49,6 +50,32 @@ def as_tracking(events: DataFrame) -> DataFrame:
     return events.select(*[columns[n].alias(n) for n in TRACKING.fieldNames()])
 
 
+def with_fine_bids(events: DataFrame) -> DataFrame:
+    """The log with bids of six decimals, some of which are too large to be added."""
+    fine = F.round(F.col("bid") * 100).cast("bigint") * 1237 / F.lit(1e6)
+    large = F.col("group_id").isNull() & (F.col("campaign_id") == "1")
+    return events.withColumn("bid", F.when(large, fine * 1e18).otherwise(fine))
+
+
+def is_late() -> Column:
+    """Events of the two hours before SPLIT that a first run has not seen yet."""
+    since = F.lit(SPLIT).cast("timestamp_ntz") - F.expr("INTERVAL 2 HOURS")
+    return (F.col("ts") >= since) & F.col("group_id").isNull()
+
+
+def dated_ahead(events: DataFrame) -> DataFrame:
+    """Events of one job with a clock sixty years ahead."""
+    ahead = F.col("ts") + F.expr("INTERVAL 60 YEARS")
+    return events.where("job_id = 3 AND publisher_id IS NULL").withColumn("ts", ahead)
+
+
+def epochs(spark: SparkSession, events: DataFrame, path: str, n: int = 5) -> DataFrame:
+    """The log as a stream of messages that arrive in `n` micro-batches, each with events of all
+    times."""
+    to_envelope(events).repartition(n, "value").write.parquet(path)
+    return read_files(spark, path, "key string, value string", maxFilesPerTrigger="1")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 

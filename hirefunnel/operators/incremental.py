@@ -1,12 +1,14 @@
 """High-water marks, the new-data gate and the scan of what changed.
 
-The mark is an event time. A run reads from the start of the hour that holds the mark,
-recomputes these hours whole and replaces them, so reading the boundary again is harmless.
+The mark is an event time. A run reads from the start of the hour that holds the mark (or from
+some hours before it), recomputes these hours whole and replaces them, so reading the boundary
+again is harmless. Whether there is anything to do is not told by the mark, which late events and
+events dated in the future would deceive, but by the number of events in each of these hours.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirefunnel.schema import EMPTY_MARK
@@ -75,3 +77,37 @@ def stamp_data_time(rows: DataFrame, events: DataFrame, column: str = "ts") -> D
     """`updated_at` = the latest event time of the input, as a scalar subquery."""
     latest = events.agg(F.max(column).cast("timestamp").alias("mark"))
     return rows.withColumn("updated_at", latest.scalar())
+
+
+def hour_before(spark: SparkSession, mark: str, lookback: str | None = None) -> str:
+    """The hour ('yyyy-MM-dd HH') that lies `lookback` before a mark."""
+    at = F.lit(mark).cast("timestamp")
+    if lookback:
+        at = at - F.expr(f"INTERVAL {lookback}")
+    return spark.range(1).select(F.date_format(at, "yyyy-MM-dd HH")).first()[0]
+
+
+def arrivals(events: DataFrame, state: DataFrame, limit: Column, column: str = "ts") -> DataFrame:
+    """One row: hours that have more events than are stored (`changed`), and the latest event up
+    to `limit` as text (`mark`).
+
+    An hour with fewer events than are stored is no news: a log may let old events go. `events`
+    and `state` cover the same hours. Both are counted per hour, laid under each other
+    and compared in one shuffle of a row per hour and task.
+    """
+    time = F.col(column)
+    found = events.groupBy(
+        F.to_date(time).cast("string").alias("dates"), F.hour(time).alias("hours")
+    ).agg(
+        F.count("*").alias("n"),
+        F.max(F.when(time.cast("timestamp") <= limit, time.cast("timestamp"))).alias("latest"),
+    )
+    known = state.groupBy("dates", "hours").agg((-F.sum("events")).alias("n"))
+    by_hour = (
+        found.unionByName(known, allowMissingColumns=True)
+        .groupBy("dates", "hours")
+        .agg(F.sum("n").alias("n"), F.max("latest").alias("latest"))
+    )
+    return by_hour.agg(
+        F.count_if(F.col("n") > 0).alias("changed"), F.max("latest").cast("string").alias("mark")
+    )

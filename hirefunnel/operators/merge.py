@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirefunnel.schema import COUNTS, FACT, FACT_KEYS, MERGE_KEYS, check_sink_schema
+from hirefunnel.operators.metrics import rounded_amounts
+from hirefunnel.schema import COUNTS, FACT, FACT_KEYS, MERGE_KEYS, STATE, SUMS, check_sink_schema
 
 # Amounts of the fact table have two decimals and are added as such.
 _CENTS = "decimal(28,2)"
@@ -27,6 +28,50 @@ def to_fact(metrics: DataFrame, source: str, updated_at: Column | None = None) -
     return check_sink_schema(rows.select(*[F.col(f.name).cast(f.dataType) for f in FACT]))
 
 
+def to_state(metrics: DataFrame, source: str, updated_at: Column | None = None) -> DataFrame:
+    """Exact metrics (`hourly_metrics` with `exact`) as rows of the stored table."""
+    stamp = F.current_timestamp() if updated_at is None else updated_at
+    rows = metrics.withColumns({"updated_at": stamp, "sources": F.lit(source)})
+    return check_sink_schema(rows.select(*[F.col(f.name).cast(f.dataType) for f in STATE]), STATE)
+
+
+def state_of_fact(fact: DataFrame) -> DataFrame:
+    """Fact rows as rows of the stored table. Their amounts are as exact as two decimals allow;
+    how many bids and other events they hold is not known, so they count none."""
+    known = {"spend": F.col("spend_hour"), "events": sum((F.col(c) for c in COUNTS), F.lit(0))}
+    rows = fact.withColumns(known)
+    return rows.select(
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit(0)).cast(f.dataType).alias(f.name)
+            for f in STATE
+        ]
+    )
+
+
+def served(state: DataFrame, averages: bool = False) -> DataFrame:
+    """Stored rows as fact rows: amounts are rounded here and nowhere before.
+
+    `averages` adds the average bid (`bid_set`) and how many bids the spend misses.
+    """
+    spend, average = rounded_amounts(F.col("spend"), F.col("bids"))
+    rows = state.withColumn("spend_hour", spend)
+    if not averages:
+        return rows.select(*FACT.fieldNames())
+    return rows.withColumn("bid_set", average).select(*FACT.fieldNames(), "bid_set", "unusable_bids")
+
+
+def added(state: DataFrame) -> DataFrame:
+    """Stored rows of one key and company added up, exactly."""
+    return (
+        state.groupBy(*MERGE_KEYS, "company_id")
+        .agg(
+            *[F.sum(c).cast(STATE[c].dataType).alias(c) for c in SUMS],
+            F.max("updated_at").alias("updated_at"),
+        )
+        .select(*STATE.fieldNames())
+    )
+
+
 def same_key(left: str, right: str, keys: list[str]) -> Column:
     """Equality of key columns of two aliased frames in which NULL equals NULL."""
     return reduce(

@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from hirefunnel.functions.events import fill_keys, known_only as only_known_kinds, of_kind
-from hirefunnel.schema import EVENT_KEYS, MEASURE_OF_KIND
+from hirefunnel.schema import EVENT_KEYS, MEASURE_OF_KIND, STATE
 
 # Money is added up as decimals, so the order of addition cannot change a sum. A sum has ten
 # more digits than an amount: ten thousand million of the largest ones still fit.
@@ -56,20 +57,28 @@ def hourly_metrics(
     time_col: str = "ts",
     known_only: bool = False,
     watermark: str | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Spend, average click bid and the four counts per date, hour and `keys`.
 
     Groups by a day number and an hour number; the text of the date is made once per
     group. A group of unknown kinds only is kept with zero counts unless `known_only`.
     On a stream, `watermark` bounds the state: hours older than it are closed and what
-    arrives for them later is left to the batch job.
+    arrives for them later is left to the batch job. With `exact` the measures are those of
+    `schema.STATE`, which can be added up further, instead of rounded amounts.
+
+    A text time that cannot be read counts under a NULL date and hour.
     """
     if known_only:
         events = only_known_kinds(events)
+    if isinstance(events.schema[time_col].dataType, StringType):
+        events = events.withColumn(time_col, F.try_to_timestamp(time_col))
     bid = F.when(_is("click"), bid_amount(F.col("bid")))
+    unusable = _is("click") & F.col("bid").isNotNull() & bid.isNull()
     measures = [
         F.sum(bid).alias("_spend"),
         F.count(bid).alias("_bids"),
+        *([F.count_if(unusable).alias("unusable_bids"), F.count("*").alias("events")] if exact else []),
         *[F.count_if(_is(kind)).alias(name) for kind, name in MEASURE_OF_KIND.items()],
     ]
     if watermark:
@@ -83,16 +92,28 @@ def hourly_metrics(
         )
         day, hour = F.col("_day"), F.col("_hour")
     spend = F.coalesce("_spend", F.lit(0))
+    if exact:
+        shown = [
+            spend.cast(STATE["spend"].dataType).alias("spend"),
+            F.col("_bids").alias("bids"),
+            "unusable_bids",
+            "events",
+        ]
+    else:
+        shown = rounded_amounts(spend, F.col("_bids"))
     return grouped.agg(*measures).select(
-        day.cast("string").alias("dates"),
-        hour.alias("hours"),
-        *keys,
-        F.round(spend, 2).cast("double").alias("spend_hour"),
-        average_half_up(spend, F.col("_bids")).alias("bid_set"),
-        *MEASURE_OF_KIND.values(),
+        day.cast("string").alias("dates"), hour.alias("hours"), *keys, *shown, *MEASURE_OF_KIND.values()
     )
 
 
+def rounded_amounts(spend: Column, bids: Column) -> list[Column]:
+    """Spend and average bid as they are shown: two decimals, ties away from zero."""
+    return [
+        F.round(spend, 2).cast("double").alias("spend_hour"),
+        average_half_up(spend, bids).alias("bid_set"),
+    ]
+
+
 # Column that the per-kind form uses for the count of each kind.
 KIND_COUNT = {
     "click": "clicks",

@@ -214,6 +214,46 @@ def batch_late_job(spark: SparkSession, sf: str) -> DataFrame:
     return read_fact(spark, table)
 
 
+def batch_averages(spark: SparkSession, sf: str) -> DataFrame:
+    """Spend and average bid as the stored table serves them."""
+    table = scratch(spark, "averages")
+    rows = fx.with_fine_bids(fx.tracking(spark, sf))
+    run_batch(rows, fx.job(spark, sf), table, updated_at=fx.stamp(fx.BATCH_STAMP))
+    return read_fact(spark, table, averages=True)
+
+
+def batch_tombstones(spark: SparkSession, sf: str) -> DataFrame:
+    """A second batch over a log that has lost every sixth hour and one publisher."""
+    table = scratch(spark, "tombstones")
+    rows, job = fx.tracking(spark, sf), fx.job(spark, sf)
+    run_batch(rows, job, table)
+    kept = rows.where("hour(ts) % 6 <> 0 AND publisher_id IS NOT NULL")
+    run_batch(kept, job, table, updated_at=fx.stamp(fx.BATCH_STAMP))
+    return read_fact(spark, table)
+
+
+def fact_of_version(spark: SparkSession, sf: str) -> DataFrame:
+    """What a reader sees that is bound to a version after the next one was published."""
+    table = scratch(spark, "versions")
+    job, stamp = fx.job(spark, sf), fx.stamp(fx.STREAM_STAMP)
+    run_batch(fx.tracking_before_split(spark, sf), job, table, updated_at=stamp)
+    bound = read_fact(spark, table)
+    run_batch(fx.tracking(spark, sf), job, table, updated_at=stamp)
+    return bound
+
+
+def incremental_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs: one that sees events dated ahead and lacks late ones, one that adds the late
+    ones only, behind the mark, and one that adds the rest."""
+    table = scratch(spark, "late")
+    job, now = fx.job(spark, sf), F.lit(fx.BATCH_STAMP).cast("timestamp")
+    whole = fx.tracking(spark, sf).unionByName(fx.dated_ahead(fx.tracking(spark, sf)))
+    seen = whole.where((F.col("ts") < fx.SPLIT) | (F.year("ts") > 2050))
+    for log in (seen.where(~fx.is_late()), seen, whole):
+        run_incremental(log, job, table, LOOKBACK, now=now)
+    return read_fact(spark, table).drop("updated_at")
+
+
 def incremental_job(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs: up to the split, then what came after it."""
     table = scratch(spark, "incremental")
@@ -257,6 +297,22 @@ def stream_delta_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _stream(spark, sf, streaming.start_deltas, "deltas")
 
 
+def stream_deltas_fine_bids(spark: SparkSession, sf: str) -> DataFrame:
+    """Bids of six decimals added over five micro-batches, and the average the table serves."""
+    folder = scratch(spark, "fine")
+    messages = fx.epochs(spark, fx.with_fine_bids(fx.tracking(spark, sf)), f"{folder}/topic")
+    query = streaming.start_deltas(
+        messages,
+        fx.job(spark, sf),
+        f"{folder}/events",
+        f"{folder}/checkpoint",
+        trigger={"availableNow": True},
+        updated_at=fx.stamp(fx.STREAM_STAMP),
+    )
+    query.awaitTermination()
+    return read_fact(spark, f"{folder}/events", averages=True)
+
+
 # --- serving -------------------------------------------------------------------------
 
 def job_list(spark: SparkSession, sf: str) -> DataFrame:
@@ -336,11 +392,16 @@ QUERIES = {
         append_rows,
         batch_job,
         batch_late_job,
+        batch_averages,
+        batch_tombstones,
+        fact_of_version,
         incremental_job,
+        incremental_late_events,
         stream_hourly_metrics,
         stream_dimension_keys,
         stream_hourly_watermarked,
         stream_delta_metrics,
+        stream_deltas_fine_bids,
         job_list,
         job_totals,
         job_lookup,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -9,17 +10,17 @@ from pyspark.sql import functions as F
 
 from hirefunnel.functions.events import require, with_event_time
 from hirefunnel.operators.enrich import attach, hourly_metrics_of_dimension, prepare_dimension
-from hirefunnel.operators.incremental import (
-    has_new_data,
-    high_water_mark,
-    newer_than,
-    touched_hours,
-)
-from hirefunnel.operators.merge import to_fact
+from hirefunnel.operators.incremental import arrivals, hour_before, touched_hours
+from hirefunnel.operators.merge import to_state
 from hirefunnel.operators.metrics import hourly_metrics
 from hirefunnel.plans.publish import upsert
-from hirefunnel.schema import BATCH, INCREMENTAL, JOB_MERGE_KEYS, MERGE_KEYS
-from hirefunnel.sources.tables import read_fact
+from hirefunnel.schema import BATCH, EMPTY_MARK, INCREMENTAL, JOB_MERGE_KEYS, MERGE_KEYS, STATE
+from hirefunnel.sources import segments
+
+# How far back an incremental run looks for events that arrived late, and how far ahead of the
+# clock an event may be dated and still move the mark.
+LOOKBACK = "1 day"
+TOLERANCE = "5 minutes"
 
 
 def enriched_metrics(
@@ -48,41 +49,53 @@ def run_batch(
     updated_at: Column | None = None,
     run_id: str | None = None,
 ) -> None:
-    """Recompute every hour from the whole log and replace what is stored.
+    """Recompute every hour from the whole log and replace all that the writer has stored.
 
-    The time of an event comes from its time-UUID, or from `ts` if `uuid_col` is None.
+    Hours and keys that the log no longer has are gone afterwards. The time of an event comes
+    from its time-UUID, or from `ts` if `uuid_col` is None.
     """
+    started = time.time()
     events = with_event_time(tracking, uuid_col) if uuid_col else require(tracking, "ts")
-    metrics = enriched_metrics(events, prepare_dimension(job), key_source)
-    rows = to_fact(metrics, BATCH, updated_at)
-    upsert(rows, table, BATCH, run_id or uuid.uuid4().hex, keys=merge_keys(key_source))
+    metrics = enriched_metrics(events, prepare_dimension(job), key_source, exact=True)
+    rows = to_state(metrics, BATCH, updated_at)
+    upsert(rows, table, BATCH, run_id or uuid.uuid4().hex, "rewrite", started=started)
 
 
 def run_incremental(
     tracking: DataFrame,
     job: DataFrame,
     table: str,
-    lookback: str | None = None,
+    lookback: str | None = LOOKBACK,
     day_column: str | None = None,
     key_source: str = "event",
+    tolerance: str = TOLERANCE,
+    now: Column | None = None,
 ) -> bool:
-    """Recompute the hours that new events fall into; False if there is nothing new.
+    """Recompute the hours from the mark on if events were added there; False if none were.
 
-    The mark is the latest event time of the previous run. It is stored in the rows that
-    run wrote, as their `updated_at`.
+    The mark is the latest event time that a run took as past: events dated more than `tolerance`
+    after the clock are counted, but do not move it. It is kept with the published version, so the
+    fact table is not searched for it. From `lookback` before the mark's hour on, the log's events
+    per hour are compared with those of the last run, which the stored rows hold; any difference,
+    be it new, late, in the boundary second or dated in the future, makes the run recompute all
+    hours from there. What arrives later than `lookback` is repaired by the batch job.
     """
-    stored = read_fact(tracking.sparkSession, table).where(F.col("sources") == INCREMENTAL)
-    sink = high_water_mark(stored, "updated_at")
-    # Only events past the stored mark are searched for the new one, so the reader can skip
-    # everything older.
-    news = newer_than(tracking, sink.scalar(), "ts", inclusive=False, day_column=day_column)
-    gate = has_new_data(high_water_mark(news, "ts"), sink)
-    # As text, which means the session's time zone on the way out and on the way in.
-    now = gate.select(*[F.col(c).cast("string").alias(c) for c in gate.columns]).first()
-    if now.has_new != "true":
+    started, spark = time.time(), tracking.sparkSession
+    last = segments.version(spark, table, INCREMENTAL)
+    events, since = require(tracking, "ts"), None
+    state = spark.createDataFrame([], STATE)
+    if last is not None:
+        since = hour_before(spark, last.mark, lookback)
+        events = touched_hours(events, F.lit(f"{since}:00:00"), "ts", None, day_column)
+        state = segments.resolved(spark, table, INCREMENTAL, last.segments)
+        state = state.where(segments.from_hour(since))
+    limit = (F.current_timestamp() if now is None else now) + F.expr(f"INTERVAL {tolerance}")
+    found = arrivals(events, state, limit).first()
+    if not found.changed:
         return False
-    events = touched_hours(tracking, F.lit(now.sink_mark), "ts", lookback, day_column)
-    metrics = enriched_metrics(events, prepare_dimension(job), key_source)
-    rows = to_fact(metrics, INCREMENTAL, F.lit(now.source_mark).cast("timestamp"))
-    upsert(rows, table, INCREMENTAL, now.source_mark, keys=merge_keys(key_source))
+    mark = found.mark or (last.mark if last else EMPTY_MARK)
+    metrics = enriched_metrics(events, prepare_dimension(job), key_source, exact=True)
+    rows = to_state(metrics, INCREMENTAL, F.lit(mark).cast("timestamp"))
+    how = "rewrite" if since is None else "hours"
+    upsert(rows, table, INCREMENTAL, uuid.uuid4().hex, how, since=since, mark=mark, started=started)
     return True

@@ -198,6 +198,36 @@ def _relabel(fact: str, label: str) -> str:
     return f"SELECT * REPLACE ('{label}' AS sources) FROM ({fact})"
 
 
+_FINE = """(SELECT * REPLACE (CASE WHEN group_id IS NULL AND campaign_id = '1'
+                            THEN cast(round(bid * 100) AS bigint) * 1237 / 1e6 * 1e18
+                            ELSE cast(round(bid * 100) AS bigint) * 1237 / 1e6 END AS bid)
+           FROM tracking)"""
+
+
+def _exact(label: str, stamp: str) -> str:
+    """Fact rows of fine bids, added as whole thousand-millionths; the average and unusable bids."""
+    amount = "try_cast(bid AS decimal(24,9))"
+    return f"""
+  SELECT dates, hours, m.job_id, publisher_id, m.campaign_id, m.group_id, j.company_id,
+         ((2 * nanos + 10000000) // 20000000) / 100.0 AS spend_hour,
+         CASE WHEN bids > 0 THEN ((2 * nanos + bids * 10000000) // (bids * 20000000)) / 100.0 END AS bid_set,
+         unusable_bids, {_COUNTS}, TIMESTAMP '{stamp}' AS updated_at, '{label}' AS sources
+  FROM (
+    SELECT strftime(ts, '%Y-%m-%d') AS dates, cast(hour(ts) AS integer) AS hours, {_EVENT_KEYS},
+           cast(coalesce(sum({amount}) FILTER (custom_track = 'click'), 0) * 1000000000 AS hugeint) AS nanos,
+           count({amount}) FILTER (custom_track = 'click') AS bids,
+           count(*) FILTER (custom_track = 'click' AND bid IS NOT NULL AND {amount} IS NULL) AS unusable_bids,
+           count(*) FILTER (custom_track = 'click') AS clicks,
+           count(*) FILTER (custom_track = 'conversion') AS conversion,
+           count(*) FILTER (custom_track = 'qualified') AS qualified_application,
+           count(*) FILTER (custom_track = 'unqualified') AS disqualified_application
+    FROM {_FINE} GROUP BY ALL
+  ) m LEFT JOIN job j ON m.job_id = j.job_id"""
+
+
+_AHEAD = """(SELECT * FROM tracking UNION ALL
+            SELECT * REPLACE (ts + INTERVAL 60 YEAR AS ts) FROM tracking
+            WHERE job_id = 3 AND publisher_id IS NULL)"""
 _AGREE = " AND ".join(f"{c}_drift = 0" for c in _COUNTS.split(", "))
 _HOURS_FROM_MARK = f"date_trunc('hour', {_SINK_MARK} - INTERVAL 2 HOUR)"
 _TOUCHED = f"(SELECT * FROM tracking WHERE ts >= {_HOURS_FROM_MARK})"
@@ -268,6 +298,15 @@ _SELECTS = {
     "append_rows": f"{_LAGGING} UNION ALL {_BATCH_FACT}",
     "batch_job": _BATCH_FACT,
     "batch_late_job": _dimension_metrics(BATCH, BATCH_STAMP),
+    "batch_averages": _exact(BATCH, BATCH_STAMP),
+    "batch_tombstones": _fact(
+        "(SELECT * FROM tracking WHERE hour(ts) % 6 <> 0 AND publisher_id IS NOT NULL)",
+        BATCH,
+        BATCH_STAMP,
+    ),
+    "fact_of_version": _fact(_BEFORE, BATCH, STREAM_STAMP),
+    "incremental_late_events": f"""
+        SELECT * EXCLUDE (updated_at) FROM ({_fact(_AHEAD, INCREMENTAL, BATCH_STAMP)})""",
     "incremental_job": f"""
         SELECT * REPLACE (
           CASE WHEN cast(dates AS timestamp) + hours * INTERVAL 1 HOUR >= {_HOURS_FROM_MARK}
@@ -277,6 +316,7 @@ _SELECTS = {
     "stream_dimension_keys": _dimension_metrics(STREAM, STREAM_STAMP),
     "stream_hourly_watermarked": _STREAM_FACT,
     "stream_delta_metrics": _STREAM_FACT,
+    "stream_deltas_fine_bids": _exact(STREAM, STREAM_STAMP),
     "job_list": "SELECT DISTINCT job_id FROM tracking WHERE job_id IS NOT NULL",
     "job_totals": _TOTALS,
     "job_lookup": f"SELECT * FROM tracking WHERE job_id = {LOOKUP_JOB}",

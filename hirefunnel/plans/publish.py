@@ -1,44 +1,49 @@
-"""Merging a writer's rows into the stored fact table.
+"""Publishing a writer's rows.
 
-The table is parquet, partitioned by writer (`sources`) and date. A writer only ever
-touches its own partitions, so two writers never overwrite each other, and a run rewrites
-the dates it has rows for and no others.
+A run writes its own rows as a new segment (see `sources.segments`), then a version that names it
+beside the segments that still count. The version appears with one rename: a run that is lost before
+leaves the old state, one that is lost after has happened, and running it again changes nothing.
+What a run writes does not depend on how much is stored. A failure raises; nothing is swallowed.
 
-A run stages its own rows, then the stored content that is to stay beside them, and then
-replaces the touched dates by both (dynamic partition overwrite). Once the two are staged
-and recorded the run is decided: a repeat of it, or the next run after a driver was lost,
-publishes the staged content again instead of merging a second time. A failure raises;
-nothing is swallowed.
+Segments of one kind are put together in tiers: when `TIER` of one level have piled up, they become
+one of the next level, so every row is rewritten a few times at most (once per level) and readers
+meet few segments. `compact` makes one base of everything.
 
-Readers of the table see each date either before or after its replacement, but may meet the
-moment in which files change; where readers must never retry, a table format with
-transactions takes the place of the last step.
+A table has one process per writer at a time; several writers do not touch each other.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, Row, SparkSession
+import time
+from dataclasses import replace as changed
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hirefunnel.operators import merge
-from hirefunnel.schema import FACT, MERGE_KEYS, check_sink_schema
-from hirefunnel.sources.tables import read_fact
-
+from hirefunnel.schema import FACT, MERGE_KEYS, STATE, check_sink_schema
+from hirefunnel.sources import files, segments
+from hirefunnel.sources.segments import BASE, DELTAS, HOURS, TOTALS, Segment, Version
+
+# How a run's rows meet the stored ones, and the kind of segment they make.
+KIND_OF = {"rewrite": BASE, "hours": HOURS, "replace": TOTALS, "accumulate": DELTAS}
+# Segments of one level that are put together, and versions that readers may still be bound to.
+TIER = 8
+KEPT_VERSIONS = 10
 _LAYOUT = ["sources", "dates"]
-_RECORD = "run_id string, how string"
 
 
 def append(rows: DataFrame, path: str, schema: StructType = FACT) -> None:
     """Add rows without looking at what is stored. Running twice stores them twice."""
-    _laid_out(check_sink_schema(rows, schema)).mode("append").parquet(path)
+    rows = check_sink_schema(rows, schema)
+    _laid_out(rows, _LAYOUT).mode("append").parquet(path)
 
 
 def last_run(spark: SparkSession, path: str, source: str) -> str | None:
-    """The id of the run that a writer decided last."""
-    decided = _recorded(spark, f"{path}/_staging/{source}/decided")
-    return decided.run_id if decided else None
+    """The id of the run that a writer published last."""
+    found = segments.version(spark, path, source)
+    return found.run_id if found else None
 
 
 def upsert(
@@ -48,69 +53,106 @@ def upsert(
     run_id: str,
     how: str = "replace",
     keys: list[str] = MERGE_KEYS,
-) -> None:
-    """Merge the rows of one run of one writer into the table, once.
-
-    `how` is 'replace' for full totals or 'accumulate' for totals of new events only; `keys`
-    are those that a replacing run recomputes whole.
-    `run_id` names the run; giving the same one again repeats the publication only.
+    since: str | None = None,
+    mark: str | None = None,
+    started: float | None = None,
+) -> bool:
+    """Publish the rows of one run of one writer, once; whether they were published now.
+
+    `how` is 'rewrite' for all that the writer has, 'hours' for all from the hour `since` on,
+    'replace' for the full totals of some `keys`, or 'accumulate' for totals of new events only.
+    Rows have the columns of `schema.STATE`; fact rows are taken too, with amounts rounded as they
+    are. `run_id` names the run: giving the last one again changes nothing.
     """
     spark = rows.sparkSession
-    staging = f"{path}/_staging/{source}"
-    decided = _recorded(spark, f"{staging}/decided")
-    if decided and decided != _recorded(spark, f"{staging}/published"):
-        _publish(spark, staging, path, decided)
-
-    # Written even when the run is a repeat: a streaming state store moves on only if its
-    # batch is executed.
-    rows = check_sink_schema(rows).withColumn("sources", F.lit(source))
-    rows.write.mode("overwrite").parquet(f"{staging}/rows")
-    if decided and decided.run_id == run_id:
+    started = time.time() if started is None else started
+    if "spend_hour" in rows.columns:
+        rows = merge.state_of_fact(check_sink_schema(rows))
+    rows = check_sink_schema(rows, STATE)
+    last = segments.version(spark, path, source)
+    if last and last.run_id == run_id:
+        # Executed even so: a streaming state store moves on only if its batch is.
+        rows.write.format("noop").mode("overwrite").save()
+        return False
+    number = _next(spark, path, source)
+    held = _write_segment(rows, path, source, number)
+    new = Segment(number, KIND_OF[how], held, since, tuple(keys))
+    earlier = () if how == "rewrite" or last is None else last.segments
+    kept = (*earlier, new) if held or how == "hours" else earlier
+    _publish(spark, path, source, Version(number, run_id, kept, mark or (last.mark if last else None),
+                                          round(time.time() - started, 3), _now()))
+    while _merge_tier(spark, path, source):
+        pass
+    _remove_old(spark, path, source)
+    return True
+
+
+def compact(spark: SparkSession, path: str, source: str) -> None:
+    """Put all that a writer has together as one base. Its last run stays its last run."""
+    last = segments.version(spark, path, source)
+    if last is None or len(last.segments) <= 1:
         return
+    number = _next(spark, path, source)
+    held = _write_segment(segments.resolved(spark, path, source, last.segments), path, source, number)
+    _publish(spark, path, source, changed(last, number=number, segments=(Segment(number, BASE, held),)))
+    _remove_old(spark, path, source)
 
-    fresh = read_fact(spark, f"{staging}/rows")
-    # One value per calendar day: the partitions that the run touches.
-    dates = [r.dates for r in fresh.select("dates").distinct().collect()]
-    if not dates:
-        return
-    touched = F.col("dates").isin([d for d in dates if d is not None])
-    if None in dates:
-        touched = touched | F.col("dates").isNull()
-    stored = read_fact(spark, path).where((F.col("sources") == source) & touched)
-    if how == "accumulate":
-        kept = merge.accumulate(stored, fresh)
-    else:
-        kept = merge.untouched(stored, fresh, keys)
-    kept.write.mode("overwrite").parquet(f"{staging}/stored")
-    this = Row(run_id=run_id, how=how)
-    _record(spark, f"{staging}/decided", this)
-    _publish(spark, staging, path, this)
-
-
-def _publish(spark: SparkSession, staging: str, path: str, run: Row) -> None:
-    content = read_fact(spark, f"{staging}/stored")
-    if run.how == "replace":
-        content = content.unionByName(read_fact(spark, f"{staging}/rows"))
-    _laid_out(content).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    _record(spark, f"{staging}/published", run)
-
-
-def _laid_out(rows: DataFrame) -> DataFrameWriter:
-    # Files of a useful size per date: small dates share a task, a large one gets several.
-    # Sorting by job lets a lookup of one job skip most row groups.
-    rows = rows.hint("rebalance", *_LAYOUT).sortWithinPartitions(*_LAYOUT, "job_id", "hours")
-    return rows.write.partitionBy(*_LAYOUT)
+
+def _now() -> str:
+    return time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
 
 
-def _record(spark: SparkSession, path: str, run: Row) -> None:
-    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in run.asDict().items()])
-    row.coalesce(1).write.mode("overwrite").json(path)
+def _next(spark: SparkSession, path: str, source: str) -> int:
+    known = segments.version_numbers(spark, path, source)
+    return known[-1] + 1 if known else 1
 
 
-def _recorded(spark: SparkSession, path: str) -> Row | None:
-    try:
-        return spark.read.schema(_RECORD).json(path).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _write_segment(rows: DataFrame, path: str, source: str, number: int) -> int:
+    """Write the rows of a run over whatever an earlier attempt left there; how many they are."""
+    spark = rows.sparkSession
+    place = segments.segment_path(path, source, number)
+    _laid_out(rows.drop("sources"), ["dates"]).mode("overwrite").parquet(place)
+    # Row counts stand in the footers: no column is read.
+    return segments.segments(spark, path, source, [Segment(number, BASE, 0)]).count()
+
+
+def _publish(spark: SparkSession, path: str, source: str, new: Version) -> None:
+    files.write_new(spark, segments.version_path(path, source, new.number), new.text())
+
+
+def _merge_tier(spark: SparkSession, path: str, source: str) -> bool:
+    """Put the last `TIER` segments together if they are of one kind and level."""
+    last = segments.version(spark, path, source)
+    tail = last.segments[-TIER:]
+    alike = {(s.kind, s.keys, s.level) for s in tail}
+    if len(tail) < TIER or len(alike) > 1 or tail[0].kind == BASE:
+        return False
+    number = _next(spark, path, source)
+    held = _write_segment(segments.resolved(spark, path, source, tail), path, source, number)
+    since = min(s.since for s in tail) if tail[0].kind == HOURS else None
+    merged = changed(tail[-1], number=number, rows=held, level=tail[0].level + 1, since=since)
+    _publish(spark, path, source, changed(last, number=number, segments=(*last.segments[:-TIER], merged)))
+    return True
+
+
+def _remove_old(spark: SparkSession, path: str, source: str) -> None:
+    """Remove versions that no reader is bound to any more, and segments that only they name."""
+    known = segments.version_numbers(spark, path, source)
+    for number in known[:-KEPT_VERSIONS]:
+        files.delete(spark, segments.version_path(path, source, number))
+    kept = known[-KEPT_VERSIONS:]
+    used = {
+        s.number for n in kept for s in segments.version(spark, path, source, n).segments
+    }
+    for name in files.names(spark, f"{path}/_segments/writer={source}"):
+        number = int(name.removeprefix("segment="))
+        # A later number may belong to a run that is about to publish.
+        if number not in used and number <= kept[-1]:
+            files.delete(spark, segments.segment_path(path, source, number))
+
+
+def _laid_out(rows: DataFrame, layout: list[str]) -> DataFrameWriter:
+    # Files of a useful size per date: small dates share a task, a large one gets several.
+    # Sorting by job lets a lookup of one job skip most row groups.
+    rows = rows.hint("rebalance", *layout).sortWithinPartitions(*layout, "job_id", "hours")
+    return rows.write.partitionBy(*layout)

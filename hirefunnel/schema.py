@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -94,6 +95,21 @@ FACT = _struct(
     sources=StringType(),
 )
 
+# What the table stores: measures that can be added up at any time without a loss. `spend` is
+# exact, `bids` counts the bids in it, `unusable_bids` the clicks whose bid it misses, and
+# `events` every event, those of unknown kinds too.
+SUMS = ["spend", "bids", "unusable_bids", "events", *COUNTS]
+STATE = _struct(
+    **{name: FACT[name].dataType for name in FACT_KEYS + ["company_id"]},
+    spend=DecimalType(38, 9),
+    bids=LongType(),
+    unusable_bids=LongType(),
+    events=LongType(),
+    **{name: LongType() for name in COUNTS},
+    updated_at=TimestampType(),
+    sources=StringType(),
+)
+
 
 def check_sink_schema(df: DataFrame, expected: StructType = FACT) -> DataFrame:
     """Refuse rows that do not fit the sink before anything is written."""

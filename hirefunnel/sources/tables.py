@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from hirefunnel.operators import merge
 from hirefunnel.operators.enrich import job_columns
-from hirefunnel.schema import FACT, JOB
+from hirefunnel.schema import FACT, JOB, STATE
+from hirefunnel.sources import files, segments
 
 
 def read_table(
@@ -29,14 +32,30 @@ def read_query(spark: SparkSession, fmt: str, query: str, **options: str) -> Dat
     return spark.read.format(fmt).options(query=query, **options).load()
 
 
-def read_fact(spark: SparkSession, path: str, schema: StructType = FACT) -> DataFrame:
-    """The fact table, or no rows if nothing has been published yet."""
-    try:
-        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def read_fact(spark: SparkSession, path: str, averages: bool = False) -> DataFrame:
+    """The fact table, or no rows if nothing has been published yet.
+
+    The frame is bound to what was published when it was made. Rows that were merely appended
+    come as they are. `averages` adds the average bid of each row and how many bids its spend
+    misses; appended rows have neither.
+    """
+    shown = [
+        merge.served(segments.read_state(spark, path, writer), averages)
+        for writer in segments.writers(spark, path)
+    ]
+    plain = appended(spark, path)
+    if plain is not None:
+        shown.append(plain)
+    if not shown:
+        return merge.served(spark.createDataFrame([], STATE), averages)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shown)
+
+
+def appended(spark: SparkSession, path: str, schema: StructType = FACT) -> DataFrame | None:
+    """Rows that lie in a folder as plain parquet; None if it holds none."""
+    if not any(n[0] not in "_." for n in files.names(spark, path)):
+        return None
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def from_rows(spark: SparkSession, columns: dict[str, list]) -> DataFrame:

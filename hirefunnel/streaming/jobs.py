@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirefunnel.functions.envelope import parse_envelope
 from hirefunnel.operators.enrich import attach, prepare_dimension
-from hirefunnel.operators.merge import to_fact
+from hirefunnel.operators.merge import to_state
 from hirefunnel.operators.metrics import hourly_metrics
 from hirefunnel.plans.jobs import enriched_metrics, merge_keys
 from hirefunnel.plans.publish import last_run, upsert
@@ -91,12 +91,12 @@ def start_running_totals(
     that get new events: their totals move to the job's new campaign and group as a whole.
     """
     events = parse_envelope(messages)
-    totals = hourly_metrics(events, keys=_keys(key_source), watermark=watermark)
+    totals = hourly_metrics(events, keys=_keys(key_source), watermark=watermark, exact=True)
     run_id, keys = _run_ids(checkpoint), merge_keys(key_source)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         rows = attach(batch, prepare_dimension(job), *_columns(key_source))
-        rows = to_fact(rows, STREAM, updated_at)
+        rows = to_state(rows, STREAM, updated_at)
         upsert(rows, table, STREAM, run_id(batch, epoch), keys=keys)
 
     # State in RocksDB lives on disk with a cache, not on the executors' heap. A query
@@ -124,8 +124,8 @@ def start_deltas(
         last = last_run(batch.sparkSession, table, STREAM)
         if last and last.split("#")[0] != this.split("#")[0]:
             raise ValueError(f"{table} holds totals of another query: {last}, not of {this}")
-        rows = enriched_metrics(batch, prepare_dimension(job), key_source)
-        upsert(to_fact(rows, STREAM, updated_at), table, STREAM, this, "accumulate")
+        rows = enriched_metrics(batch, prepare_dimension(job), key_source, exact=True)
+        upsert(to_state(rows, STREAM, updated_at), table, STREAM, this, "accumulate")
 
     return _start(events, sink, checkpoint, "append", trigger, name)
 

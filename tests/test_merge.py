@@ -6,6 +6,7 @@ from hirefunnel.operators import merge, reconcile, serving
 from hirefunnel.plans import publish
 from hirefunnel.plans.jobs import run_batch
 from hirefunnel.schema import BATCH, FACT, PRECEDENCE, STREAM, check_sink_schema
+from hirefunnel.sources.segments import segment_path
 from hirefunnel.sources.tables import read_fact
 
 LATER = "2024-03-02 00:00:00"
@@ -69,19 +70,24 @@ def test_sink_schema_is_checked_before_writing(spark, folder):
 
 # --- the stored table ----------------------------------------------------------------
 
-def test_upsert_rewrites_touched_dates_only(spark, folder):
+def files_of(spark, folder):
+    names = spark.read.parquet(folder).select(F.input_file_name().alias("f")).distinct()
+    return {r.f for r in names.collect()}
+
+
+def test_upsert_writes_its_own_dates_only(spark, folder):
     table = f"{folder}/t"
     publish.upsert(
         fact(events(spark, event("2024-01-01 10:00:00"), event("2024-01-02 10:00:00")), BATCH),
         table, BATCH, "1",
     )
-    before = {r.f for r in spark.read.parquet(table).select(F.input_file_name().alias("f")).collect()}
+    before = files_of(spark, segment_path(table, BATCH, 1))
     publish.upsert(
         fact(events(spark, event("2024-01-02 10:00:00"), event("2024-01-02 10:30:00")), BATCH, LATER),
         table, BATCH, "2",
     )
-    after = {r.f for r in spark.read.parquet(table).select(F.input_file_name().alias("f")).collect()}
-    assert {f for f in before if "2024-01-01" in f} <= after
+    assert files_of(spark, segment_path(table, BATCH, 1)) == before
+    assert all("2024-01-02" in f for f in files_of(spark, segment_path(table, BATCH, 2)))
     assert clicks(read_fact(spark, table)) == {
         ("2024-01-01", 10, "g"): 1,
         ("2024-01-02", 10, "g"): 2,
@@ -110,23 +116,6 @@ def test_replayed_run_is_applied_once(spark, folder):
     assert clicks(read_fact(spark, table)) == {("2024-01-01", 10, "g"): 2}
 
 
-@pytest.mark.parametrize("retry", ["2", "3"])
-def test_run_lost_before_publication_is_finished_by_the_next(spark, folder, monkeypatch, retry):
-    table = f"{folder}/t"
-    rows = fact(events(spark, event()), STREAM)
-    publish.upsert(rows, table, STREAM, "1", "accumulate")
-
-    def lost(*_):
-        raise RuntimeError("driver lost")
-
-    with monkeypatch.context() as m:
-        m.setattr(publish, "_publish", lost)
-        with pytest.raises(RuntimeError):
-            publish.upsert(rows, table, STREAM, "2", "accumulate")
-    publish.upsert(rows, table, STREAM, retry, "accumulate")
-    assert clicks(read_fact(spark, table)) == {("2024-01-01", 10, "g"): int(retry)}
-
-
 def test_upsert_without_rows_changes_nothing(spark, folder):
     table = f"{folder}/t"
     rows = fact(events(spark, event()), BATCH)
@@ -157,7 +146,7 @@ def test_hot_date_gets_several_files(spark, folder):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = (
-        spark.read.parquet(f"{folder}/t")
+        spark.read.parquet(segment_path(f"{folder}/t", BATCH, 1))
         .select("dates", F.input_file_name().alias("f"))
         .distinct()
         .groupBy("dates")
