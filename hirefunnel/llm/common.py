@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hirefunnel.sources import files
 from hirefunnel.workspace import scratch
 
 # The characters between words, space and U+0009 to U+000D. They are also what
@@ -28,14 +30,55 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# Ids that are sent to every task; beyond, rows are shuffled to them.
+BROADCAST_IDS = 2_000_000
+_written: list[list[str]] = []
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written below the shared checkpoint folder and read again: lineage ends here."""
     spark = rows.sparkSession
     path = scratch(spark, name)
+    if _written:
+        _written[-1].append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def noting_scratch() -> Iterator[list[str]]:
+    """The folders that `stored` makes within the block, for `remove` once they are not needed."""
+    _written.append([])
+    try:
+        yield _written[-1]
+    finally:
+        _written.pop()
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        files.delete(spark, path)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """A name like `name` that no column has, in any spelling of upper and lower case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is not among the single column of `ids`; a null matches a null.
+
+    Up to `BROADCAST_IDS` of them are sent to the rows; more are met by a shuffle of both.
+    """
+    ids = stored(ids.toDF(free_name(rows.columns, "gone")), "without-ids")
+    name = ids.columns[0]
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return rows.join(ids, rows[f"`{id_col}`"].eqNullSafe(ids[name]), "left_anti")
+
+
 def partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

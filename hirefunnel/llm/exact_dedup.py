@@ -15,7 +15,8 @@ Texts are equal when their bytes are, after lower-casing A-Z; a null text is an
 
 Every input row comes back once. Of equal texts one row stays: the one with the largest id, and
 of rows that share that id too, one of them. A null id is smaller than any other. An empty table
-gives no rows. Other columns are not read, so their names cannot clash.
+gives no rows. Other columns are not read. `distinct_rows` takes the copies out of the rows by their ids,
+which are fewer than the rows; only where ids repeat are the rows written down with numbers.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirefunnel.llm.common import partitions, stored, texts_of
+from hirefunnel.llm.common import free_name, partitions, stored, texts_of, without
 
 #: Length of the prefixes that texts are dealt out by at first; each level makes them LONGER times as long.
 FIRST, LONGER = 8, 4
@@ -93,15 +94,15 @@ def exact_groups(
 
 def distinct_rows(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    again = rows.groupBy(id_col).count().where("count > 1")
+    again = rows.groupBy(f"`{id_col}`").count().where("count > 1")
     if again.isEmpty():
-        kept = exact_groups(rows, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"))
-        return rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+        gone = exact_groups(rows, id_col, text_col).where("NOT kept").select(id_col)
+        return without(rows, id_col, gone)
     # Rows that share an id are told apart by a number that is written down with them.
-    numbered = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "exact-rows")
-    kept = exact_groups(numbered, id_col, text_col, key_col="__row").where("kept")
-    kept = kept.select(F.col("key").alias("__row"))
-    return numbered.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in rows.columns])
+    number = free_name(rows.columns, "number")
+    numbered = stored(rows.withColumn(number, F.monotonically_increasing_id()), "exact-rows")
+    gone = exact_groups(numbered, id_col, text_col, key_col=number).where("NOT kept").select("key")
+    return without(numbered, number, gone).drop(number)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +152,10 @@ def _final(groups: DataFrame, limit: int) -> DataFrame:
         F.sum("size").alias("group_size"),
         F.max(F.sha2("body", 256)).alias("text_sha256"),
     )
-    folded = copies.select("local", "path").join(F.broadcast(found), "path")
+    # One row of about 120 bytes per heavy text; the whole texts stay behind.
+    found = stored(found, "exact-ones")
+    found = F.broadcast(found) if found.count() * 120 <= BROADCAST_BYTES else found
+    folded = copies.select("local", "path").join(found, "path")
     return rest.unionByName(
         folded.select(
             "local",

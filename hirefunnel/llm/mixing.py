@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirefunnel.llm.common import each_batch, stored, texts_of
+from hirefunnel.llm.common import each_batch, free_name, stored, texts_of
 
 # The weights of the sources in turn.
 WEIGHTS = (3, 1, 2)
@@ -166,9 +166,20 @@ def mixed(
 
 def mixed_rows(rows: DataFrame, **columns: str) -> DataFrame:
     """The mix itself: every row as often as it is taken, with all its columns."""
-    numbered = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    taken = mixed(numbered, key_col="__row", **columns).where("copies > 0")
-    taken = taken.select(F.col("key").alias("__row"), F.col("copies").alias("__copies"))
-    out = numbered.join(taken, "__row")
-    out = out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return out.select(*rows.columns)
+    id_col = columns.get("id_col", "doc_id")
+    number = id_col
+    if not rows.groupBy(f"`{id_col}`").count().where(f"count > 1 OR `{id_col}` IS NULL").isEmpty():
+        # Rows that share an id are told apart by a number that is written down with them.
+        number = free_name(rows.columns, "number")
+        rows = stored(rows.withColumn(number, F.monotonically_increasing_id()), "mix-rows")
+    taken = mixed(rows, key_col=number, **columns).where("copies > 0")
+    copies = free_name(rows.columns, "copies")
+    taken = taken.select(F.col("key").alias(free_name(rows.columns, "key")), F.col("copies").alias(copies))
+    # Nearly every row has a count of copies, so rows and counts meet by a shuffle at any size.
+    out = rows.join(taken.hint("merge"), rows[f"`{number}`"] == taken[taken.columns[0]])
+    out = out.select(
+        *[rows[f"`{c}`"] for c in rows.columns],
+        F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(free_name(rows.columns, "copy")),
+    )
+    kept = [c for c in rows.columns if c == id_col or c != number]
+    return out.select(*[F.col(f"`{c}`") for c in kept])

@@ -191,14 +191,18 @@ def measured(rows: DataFrame, text_col: str = "text") -> DataFrame:
     return each_batch(rows, make, schema)
 
 
-def judged(measured_rows: DataFrame) -> DataFrame:
-    """The rows with posterior, base_failed and kept beside the measures in the same column."""
-    found = stored(measured_rows, "quality")
+def fitted(measured_rows: DataFrame) -> Model:
+    """The model of the votes of all rows; one row per pattern of votes reaches the driver."""
     votes = [r.vote() for r in rules()]
-    counted = found.groupBy(*votes).count().collect()
+    counted = measured_rows.groupBy(*votes).count().collect()
     patterns = sorted((tuple(r[:-1]), r[-1]) for r in counted)
-    posterior = fit(patterns, len(votes)).posterior(votes)
-    return found.withColumn(
+    return fit(patterns, len(votes))
+
+
+def judged(measured_rows: DataFrame, model: Model) -> DataFrame:
+    """The rows with posterior, base_failed and kept beside the measures in the same column."""
+    posterior = model.posterior([r.vote() for r in rules()])
+    return measured_rows.withColumn(
         OWN,
         F.col(OWN)
         .withField("posterior", posterior)
@@ -210,10 +214,18 @@ def judged(measured_rows: DataFrame) -> DataFrame:
 def scored(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, measures, base_failed, posterior, kept."""
     source = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = judged(measured(source).drop("text"))
+    found = stored(measured(source).drop("text"), "quality")
+    found = judged(found, fitted(found))
     return found.select(F.col("id").alias(id_col), f"{OWN}.*")
 
 
 def filtered(rows: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that are kept, with all their columns."""
-    return judged(measured(rows, text_col)).where(F.col(f"{OWN}.kept")).drop(OWN)
+    """The rows that are kept, with all their columns.
+
+    Texts are measured once for the model and once more to be judged, which takes less than
+    writing every row down between the two. Columns go by their place, so any name will do.
+    """
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    text = f"c{rows.columns.index(text_col)}"
+    model = fitted(measured(plain.select(text), text))
+    return judged(measured(plain, text), model).where(F.col(f"{OWN}.kept")).drop(OWN).toDF(*rows.columns)

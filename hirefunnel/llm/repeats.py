@@ -159,13 +159,18 @@ def repeated_anchors(texts: DataFrame, symbols: Symbols, length: int, gram: int)
 
 
 def keyed_texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """key, id, text. Keys are the ids where these are unique, else numbers in their order."""
+    """key, text, and id where it is another than the key. Keys are the ids where these are unique,
+    else numbers in their order.
+
+    Texts are joined twice, to their hits and to their removed spans. Both joins see the same
+    columns and the same filter, so that Spark deals the texts out by key once and reads that twice.
+    """
     source = rows.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     )
     twice = source.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL")
     if twice.isEmpty():
-        return source.select(F.col("id").alias("key"), "id", "text")
+        return source.select(F.col("id").alias("key"), "text").where(F.col("key").isNotNull())
     order = F.col("id").asc_nulls_first()
     ordered = source.repartitionByRange(order, F.xxhash64("text")).sortWithinPartitions(order, "text")
     ordered = ordered.select(F.monotonically_increasing_id().alias("key"), "id", "text")
@@ -211,7 +216,8 @@ def batch_contexts(
 def with_removed(texts: DataFrame, removed: DataFrame) -> DataFrame:
     """id, text and the list of removed [start, stop) of every text; null if there is none."""
     lists = removed.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("removed"))
-    return texts.join(lists, "key", "left").select("id", "text", "removed")
+    name = "id" if "id" in texts.columns else "key"
+    return texts.join(lists, "key", "left").select(F.col(name).alias("id"), "text", "removed")
 
 
 def merged_spans(removed: list[dict] | None) -> list[tuple[int, int]]:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirefunnel.llm.common import each_batch, stored, texts_of, whole_groups
+from hirefunnel.llm.common import each_batch, free_name, stored, texts_of, whole_groups, without
 from hirefunnel.llm.components import smallest_reachable
 
 SEED = 42
@@ -181,15 +181,17 @@ def near_groups(
 
 def representatives(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component the row with the smallest id, with all its columns."""
-    if rows.groupBy(id_col).count().where("count > 1").isEmpty():
+    if rows.groupBy(f"`{id_col}`").count().where("count > 1").isEmpty():
         groups = near_groups(rows, id_col, text_col)
-        kept = groups.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        kept = kept.select(F.col(id_col).alias("__id"))
-        return rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+        same = F.col(id_col).eqNullSafe(F.col("component_id"))
+        return without(rows, id_col, groups.where(~same).select(id_col))
     # Rows that share an id are told apart by a number that is written down with them.
-    numbered = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
-    groups = near_groups(numbered, "__row", text_col)
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("__row"))
-    named = numbered.select("__row", order.alias("__order")).join(groups, "__row")
-    kept = named.groupBy("component_id").agg(F.min("__order").alias("__order")).select("__order.__row")
-    return numbered.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in rows.columns])
+    number = free_name(rows.columns, "number")
+    numbered = stored(rows.withColumn(number, F.monotonically_increasing_id()), "simhash-rows")
+    groups = near_groups(numbered, number, text_col).select(F.col(number).alias("n"), "component_id")
+    ids = numbered.select(F.col(number).alias("n"), F.col(f"`{id_col}`").alias("id"))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("n"))
+    named = ids.select("n", order.alias("place")).join(groups, "n")
+    first = named.groupBy("component_id").agg(F.min("place").alias("place"))
+    gone = ids.select("n").join(first.select("place.n"), "n", "left_anti")
+    return without(numbered, number, gone).drop(number)

@@ -5,10 +5,13 @@ from __future__ import annotations
 import random
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use inside; none of them may clash.
 EXTRA = "key long, id long, fp long, size long, place long, gram long, `group` string, removed string"
+# Names that stages which return whole rows must leave alone.
+RESERVED = ["__row", "__id", "__quality", "__copies", "__copy", "__order", "a.b", "number", "gone", "copies", "C0"]
 
 
 def words(n: int, seed: int, vocabulary: int = 40) -> str:
@@ -55,6 +58,13 @@ def table(spark: SparkSession, texts: list[str | None], extra: bool = False, sta
     return spark.createDataFrame([(*r, 1, 2, 3, 4, 5, 6, "g", None) for r in rows], f"{SCHEMA}, {EXTRA}")
 
 
+def reserved(rows: DataFrame) -> DataFrame:
+    """The rows with columns of such names, whose values tell rows apart."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    extra = [F.concat(F.lit(f"{k}-"), F.substring(text, 1, 20)).alias(n) for k, n in enumerate(RESERVED)]
+    return rows.select("*", *extra)
+
+
 def odd(spark: SparkSession) -> DataFrame:
     return table(spark, odd_texts(), extra=True)
 
