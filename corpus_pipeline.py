@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns
 of documents. `run` writes each stage's result below the shared checkpoint folder and reads it
 again, so a lost executor never repeats an earlier stage.
+
+`run` removes what a stage's result was made from, scratch tables and the result before it, once the
+result is written. Who calls the stages one by one keeps their scratch tables.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from hirefunnel.llm import bpe, exact_dedup, mixing, quality, simhash
-from hirefunnel.llm.common import documents, stored
+from hirefunnel.llm.common import documents, noting_scratch, remove, stored
 from hirefunnel.llm.queries import vocabulary
 
 
@@ -47,7 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with noting_scratch() as paths:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # The last folder is the result.
+        remove(spark, before + paths[:-1])
+        before = paths[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
