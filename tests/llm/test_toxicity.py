@@ -76,3 +76,42 @@ def test_odd_rows_and_labels(spark):
         assert len(out) == rows.count()
         assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
     assert toxicity.scored(empty(spark), marks).collect() == []
+
+
+def test_telling_buckets_by_brute_force():
+    texts, labels = corpus(300)
+    bodies, marks = [t.encode() for t in texts], [t for _, _, t in labels]
+    total, rude = {}, {}
+    for body, mark in zip(bodies, marks):
+        for g in {g for w in toxicity.words_of(body) for g in toxicity.bag(w)}:
+            total[g] = total.get(g, 0) + 1
+            rude[g] = rude.get(g, 0) + mark
+    bags = toxicity.Bags()
+    got = toxicity.counts([bags.text(b) for b in bodies], marks)
+    assert [c.tolist() for c in got] == [sorted(total), [total[g] for g in sorted(total)], [rude[g] for g in sorted(total)]]
+    n1, some = sum(marks), sum(n > 1 for n in total.values())
+    told = got[0][toxicity.telling(got[1], got[2], n1, 300 - n1, some, 10, 5.0)]
+    for g in sorted(total):
+        n, r = total[g], rude[g]
+        p = n / 300
+        wide = abs(r / n1 - (n - r) / (300 - n1)) >= 5 * np.sqrt(p * (1 - p) * (1 / n1 + 1 / (300 - n1)))
+        chance = n > 1 and toxicity.by_chance(np.array([r]), np.array([n]), n1, 300 - n1)[0] * some <= 1
+        assert (g in told) == bool((n >= 10 and wide and n < 300) or chance)
+
+
+def test_learning_in_tasks_is_learning_at_hand(spark):
+    texts, labels = corpus(200)
+    rows, marks = table(spark, texts, extra=True), spark.createDataFrame(labels, LABELS)
+    chosen = toxicity.sample(rows, marks)
+    at_hand = chosen.orderBy("place").collect()
+    want = toxicity.train([r.text.encode() for r in at_hand], [r.label for r in at_hand])
+    got = toxicity.learnt(chosen)
+    assert got.weight.keys() == want.weight.keys() and len(want.weight) > 10
+    assert np.allclose([got.weight[g] for g in want.weight], list(want.weight.values()), atol=1e-4)
+    assert abs(got.bias - want.bias) < 1e-4
+
+
+def test_without_labels_nothing_is_toxic(spark):
+    rows = odd(spark)
+    out = toxicity.scored(rows, spark.createDataFrame([], LABELS)).collect()
+    assert {r.predicted for r in out} == {0}
