@@ -6,12 +6,15 @@ block the label of its nearest decided neighbours. Kept blocks are joined by one
 
 First pass, in this order:
   bad        the block stands in a menu, header, footer, sidebar, notice, advert, form, reader
-             comment or the like; or links make up more than MOST_LINKS of it; or it is a
-             copyright line outside an article. A class, id or role of NOT_MAIN does not count for
-             a block of an article or main element that is LONG with a share of STOP_HIGH
+             comment or the like; or links make up more than MOST_LINKS of it, in an article or main
+             element nearly all of it or a labelled list of links; or it is a copyright line outside
+             an article. A single name of NOT_MAIN as class, id or role does not count for a block
+             of an article or main element that is LONG with a share of STOP_HIGH
   good       at least LONG characters, and a share of stop words of at least STOP_HIGH; or LONG
-             and inside an article or main element
-  bad        LONG outside of these, with a share of stop words below STOP_LOW
+             and inside an article or main element; or LONG, on a page where no block shows that its
+             language is one of those whose stop words are known
+  bad        LONG outside of these, with a share of stop words below STOP_LOW, if blocks with known
+             stop words surround it on the page and it is written in the same letters
   undecided  everything else
 Second pass: the nearer decided neighbour gives its label; of two that are equally near, a good one
 does. Blocks of an article or main element only look at neighbours inside of it. Blocks that are bad
@@ -40,7 +43,7 @@ from hirefunnel.llm.common import STOP_WORDS, each_batch
 
 LONG = 90
 STOP_LOW, STOP_HIGH = 0.05, 0.12
-MOST_LINKS = 0.34
+MOST_LINKS, ALL_LINKS = 0.34, 0.9
 
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -50,7 +53,7 @@ INLINE = frozenset(
 )
 SILENT = frozenset(
     """head title script style noscript template iframe object svg math select textarea button
-    canvas audio video datalist option""".split()
+    canvas audio video datalist""".split()
 )
 RAW = frozenset("script style textarea title iframe noscript".split())
 BOILERPLATE = frozenset("nav footer aside form dialog menu header fieldset".split())
@@ -71,8 +74,8 @@ NEVER_CLASS = frozenset("advertising consent cookie cookies gdpr".split())
 #: topics as in related-work, may not.
 BESIDE = frozenset(
     """area article articles bar block bottom box button buttons c container entry form global inner
-    item items js label link links list panel post posts primary secondary site slot stories top unit
-    wrap wrapper""".split()
+    item items js label link links list panel post posts primary reader readers secondary site slot
+    stories thread threads top unit user wrap wrapper""".split()
 )
 KNOWN = {"main-nav": 1, "main-menu": 1, "main-navigation": 1, "page-footer": 1, "page-nav": 1}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -85,6 +88,13 @@ _TAG = re.compile(
 )
 _NOTED = re.compile(r"class|id|role|hidden", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+#: Headings above readers' comments, in the four languages, and the label of a list of links.
+_COMMENTS = re.compile(
+    r"\(?\d+\)? +(comments?|responses?|replies|reply|kommentare?|antworten|commentaires?|réponses?"
+    r"|comentarios?|respuestas?)( (on|to|zu|sur|à|a|en|sobre)\b.*)?",
+    re.I | re.S,
+)
+_LABEL = re.compile(r"[^.:!?]{1,30}:")
 
 
 @dataclass
@@ -118,10 +128,19 @@ def blocks(page: str) -> list[tuple[Block, str]]:
     now, scopes, links, at = Block(), 0, 0, 0
     cuts = 0  # inline elements on the stack
     held: list[Open] = []  # those of them whose outer block may go on
+    ends: dict[str, dict[int, int]] = {}  # by name of a silent element, where each of them ends
 
     def add(block: Block) -> None:
         if block.parts and (text := block.text()):
             block.bad |= block.named and not _shown(block, text)
+            if block.heading and len(text) < LONG and _COMMENTS.fullmatch(text):
+                # What else stands in its element are the comments.
+                block.bad = True
+                k = len(stack) - 1
+                while k >= 0 and stack[k].name in HEADINGS:
+                    k -= 1
+                if k >= 0 and stack[k].name not in ("html", "body"):
+                    stack[k].bad = 2
             out.append((block, text))
 
     def begun() -> Block:
@@ -217,8 +236,10 @@ def blocks(page: str) -> list[tuple[Block, str]]:
             close()
             continue
         if name in SILENT and not tag[4].endswith("/"):
-            at = _skip(page, at, name)
-            if name not in ("option", "button"):
+            if name not in ends:
+                ends[name] = _ends(page, name)
+            at = ends[name].get(mark, len(page) if name in RAW else at)
+            if name != "button":
                 continue
         if name in VOID or tag[4].endswith("/"):
             links = 0
@@ -288,7 +309,8 @@ def _named(attribute: str, value: str) -> int:
         never = NEVER_MAIN if attribute == "id" else NEVER_MAIN | NEVER_CLASS
         told = [p for p in parts if p in NOT_MAIN or p in NEVER_MAIN or p in NEVER_CLASS]
         if told and all(p in BESIDE for p in parts if p not in told):
-            worst = max(worst, 2 if any(p in never for p in told) else 1)
+            # Two names together leave no doubt; one alone may be what the text is about.
+            worst = max(worst, 2 if any(p in never for p in told) or len(parts) > 1 else 1)
         worst = max(worst, KNOWN.get(name, 0))
     return worst
 
@@ -298,33 +320,51 @@ def _shown(block: Block, text: str) -> bool:
     return bool(block.scope) and len(text) >= LONG and _share(text) >= STOP_HIGH
 
 
-def _skip(page: str, at: int, name: str) -> int:
-    """The place after the end tag; raw elements end at the first one, others when balanced."""
-    depth = 1
-    for tag in re.finditer(rf"<(/?){name}(?=[\s/>])[^>]*>", page[at:], re.I):
-        depth += -1 if tag[1] else 0 if name in RAW else 1
-        if not depth:
-            return at + tag.end()
-    # An unfinished script takes the rest of the page; of other elements only the tag is dropped.
-    return len(page) if name in RAW else at
+def _ends(page: str, name: str) -> dict[int, int]:
+    """By place of a start tag, the place after its end tag: the first one of a raw element, else the
+    one that balances it. All are found in one pass over the page.
+
+    An unfinished script takes the rest of the page; of other elements only the tag is dropped.
+    """
+    tags = re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I)
+    out: dict[int, int] = {}
+    begun: list[int] = []
+    for tag in tags.finditer(page, 0, page.rfind(">") + 1):
+        if not tag[1]:
+            begun.append(tag.start())
+        elif name in RAW:
+            out.update(dict.fromkeys(begun, tag.end()))
+            begun.clear()
+        elif begun:
+            out[begun.pop()] = tag.end()
+    return out
 
 
-def decide(block: Block, text: str) -> int:
-    """1 good, -1 bad, 0 undecided."""
+def decide(block: Block, text: str, share: float = 0.0, known: bool = True) -> int:
+    """1 good, -1 bad, 0 undecided. `share`: of stop words, asked for in a LONG text only; `known`:
+    whether some block shows that the page's language is a known one."""
     if block.bad:
         return -1
-    if block.linked > MOST_LINKS * sum(map(len, block.parts)):
+    size = sum(map(len, block.parts))
+    if block.linked > (ALL_LINKS if block.scope else MOST_LINKS) * size:
+        return -1
+    if block.scope and block.linked > MOST_LINKS * size and _LABEL.match(text):
         return -1
     if "©" in text and not block.scope and len(text) < 2 * LONG:
         return -1
     if len(text) < LONG:
         return 0
-    share = _share(text)
-    if share >= STOP_HIGH or block.scope:
+    if share >= STOP_HIGH or block.scope or not known:
         return 1
     return -1 if share < STOP_LOW else 0
 
 
+def _same_letters(text: str, shown: list[str]) -> bool:
+    """Whether most letters of a text are letters of the others."""
+    own = {c for c in text.lower() if c.isalpha()}
+    return 2 * len(own.intersection("".join(shown).lower())) > len(own)
+
+
 def _share(text: str) -> float:
     """The share of stop words."""
     words = _WORD.findall(text.lower())
@@ -333,7 +373,13 @@ def _share(text: str) -> float:
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
-    labels = [decide(b, t) for b, t in found]
+    shares = [_share(t) if len(t) >= LONG and not b.bad else 0.0 for b, t in found]
+    shown = [t for (_, t), share in zip(found, shares, strict=True) if share >= STOP_HIGH]
+    for k, (block, text) in enumerate(found):
+        # Known words can only be missed in a text in letters that have them.
+        if shown and shares[k] < STOP_LOW and len(text) >= LONG and not _same_letters(text, shown):
+            shares[k] = STOP_LOW
+    labels = [decide(b, t, share, bool(shown)) for (b, t), share in zip(found, shares, strict=True)]
     before, after = _nearest(found, labels), _nearest(found[::-1], labels[::-1])[::-1]
     kept = []
     for (block, text), label, left, right in zip(found, labels, before, after, strict=True):

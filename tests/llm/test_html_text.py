@@ -129,6 +129,60 @@ def test_any_markup(html):
     assert text == " ".join(text.split())
 
 
+RUSSIAN = "Это длинный абзац текста о мостах и реках, который должен остаться в статье без потерь. " * 2
+POLISH = "Most nad rzeką zbudowano dawno temu, lecz ludzie nadal nim chodzą każdego dnia do pracy. " * 2
+CHINESE = "这座桥建于洪水之年,镇上的人们至今仍在使用它。" * 8
+
+
+def test_languages_without_known_words_keep_their_text():
+    for prose in (RUSSIAN, POLISH, CHINESE):
+        text = " ".join(prose.split())
+        for html in (
+            f"<div><h1>T</h1><p>{prose}</p><p>{prose}</p></div>",
+            f"<nav><a href=x>a</a></nav><div><h1>T</h1><p>{prose}</p><p>{prose}</p></div><footer>f</footer>",
+        ):
+            assert html_text.main_text(html) == f"T {text} {text}"
+    # A quotation in other letters on a page of a known language stays with its neighbours.
+    text = " ".join(RUSSIAN.split())
+    assert html_text.main_text(f"<p>{ARTICLE}</p><p>{RUSSIAN}</p><p>{ARTICLE}</p>") == f"{ARTICLE} {text} {ARTICLE}"
+
+
+def test_linked_prose_of_an_article_stays_and_lists_of_links_go():
+    linked = "<p>Read <a>the full report of the commission on bridges</a> now.</p>"
+    source = "<ul><li><a>A history of bridges and rivers</a>, 1931</li></ul>"
+    menu = "<ul><li><a>Home and garden</a></li><li><a>Sport</a></li></ul><p>Tags: <a>bridge</a> <a>river</a></p>"
+    html = f"<article><p>{ARTICLE}</p>{linked}{source}<p>{ARTICLE}</p>{menu}<p>{ARTICLE}</p></article>"
+    report, book = "Read the full report of the commission on bridges now.", "A history of bridges and rivers, 1931"
+    want = f"{ARTICLE} {report} {book} {ARTICLE} {ARTICLE}"
+    assert html_text.main_text(html) == want
+
+
+def test_boilerplate_of_two_names_and_comments_under_a_count():
+    for element in (
+        f"<div class='newsletter-signup'>{ARTICLE}</div>",
+        f"<div class='related-stories'>{ARTICLE}</div>",
+        f"<div class='reader-comments'>{ARTICLE}</div>",
+        f"<div class='comment-thread'>{ARTICLE}</div>",
+        f"<div id='discussion'><h2>3 Responses</h2><p>{ARTICLE}</p></div>",
+        f"<section><h3>12 Kommentare zu diesem Text</h3><p>{ARTICLE}</p><p>{ARTICLE}</p></section>",
+    ):
+        assert html_text.main_text(f"<article><p>{ARTICLE}</p>{element}<p>{ARTICLE}</p></article>") == f"{ARTICLE} {ARTICLE}", element
+    # A section that is called so without a count is the article's own.
+    html = f"<article><section id='discussion'><h2>Discussion</h2><p>{ARTICLE}</p></section></article>"
+    assert html_text.main_text(html) == f"Discussion {ARTICLE}"
+
+
+def test_unclosed_elements_take_linear_time():
+    import time
+
+    for unit in ("<option>aaa ", "<button>", "<select>", "<svg>", "<svg><button>", "<option aaa ", "<style>x"):
+        html = unit * (1_000_000 // len(unit))
+        start = time.process_time()
+        html_text.main_text(html)
+        assert time.process_time() - start < 10, unit
+    assert html_text.main_text(f"<svg><svg></svg>x</svg><p>{ARTICLE}</p><select><option>a</select>") == ARTICLE
+
+
 def test_query(spark):
     rows = [(1, "u", page(f"<p>{ARTICLE}</p>"), 5), (1, "u", None, 6), (None, None, "", 7)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
