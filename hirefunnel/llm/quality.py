@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from hirefunnel.llm.common import BLANKS, STOP_WORDS, each_batch, stored, utf8
+from hirefunnel.llm.common import BLANKS, STOP_WORDS, each_batch, stored, utf8, without
 
 MEASURES = (
     "n_words",
@@ -213,18 +213,20 @@ def judged(measured_rows: DataFrame, model: Model) -> DataFrame:
 
 def scored(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, measures, base_failed, posterior, kept."""
-    source = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = stored(measured(source).drop("text"), "quality")
     found = judged(found, fitted(found))
     return found.select(F.col("id").alias(id_col), f"{OWN}.*")
 
 
-def filtered(rows: DataFrame, text_col: str = "text") -> DataFrame:
+def filtered(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that are kept, with all their columns.
 
-    Texts are measured once for the model and once more to be judged, which takes less than
-    writing every row down between the two. Columns go by their place, so any name will do.
+    Those that go are taken out by their ids. Where ids repeat, texts are measured once for the model
+    and once more to be judged with their rows, whose columns go by their places then.
     """
+    if rows.groupBy(f"`{id_col}`").count().where("count > 1").isEmpty():
+        return without(rows, id_col, scored(rows, id_col, text_col).where("NOT kept").select(id_col))
     plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
     text = f"c{rows.columns.index(text_col)}"
     model = fitted(measured(plain.select(text), text))
