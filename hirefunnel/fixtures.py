@@ -57,6 +57,13 @@ def with_fine_bids(events: DataFrame) -> DataFrame:
     return events.withColumn("bid", F.when(large, fine * 1e18).otherwise(fine))
 
 
+def with_text_times(events: DataFrame) -> DataFrame:
+    """The log with `ts` as text, which some events lack and which cannot be read in others."""
+    bad = F.when((F.col("job_id") == 1) & F.col("group_id").isNull(), F.lit("not a time"))
+    text = F.when((F.col("job_id") == 2) & F.col("publisher_id").isNull(), F.lit(None))
+    return events.withColumn("ts", F.coalesce(bad, text.otherwise(F.col("ts").cast("string"))))
+
+
 def is_late() -> Column:
     """Events of the two hours before SPLIT that a first run has not seen yet."""
     since = F.lit(SPLIT).cast("timestamp_ntz") - F.expr("INTERVAL 2 HOURS")

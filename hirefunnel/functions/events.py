@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from hirefunnel.functions.timeuuid import is_timeuuid, new_timeuuid, time_of_timeuuid
 from hirefunnel.schema import KINDS, TRACKING
@@ -23,6 +24,30 @@ def with_event_time(events: DataFrame, uuid_col: str = "create_time") -> DataFra
     return events.where(is_timeuuid(uuid)).withColumn("ts", time_of_timeuuid(uuid))
 
 
+# Reasons for which an event is not counted.
+NO_TIME, UNREADABLE_TIME = "no time", "unreadable time"
+
+
+def sifted(events: DataFrame, uuid_col: str | None = None, time_col: str = "ts") -> DataFrame:
+    """Every event with `ts` as a timestamp, or NULL and then why (`reason`) and the event as it came
+    (`event`, JSON). The time comes from the time-UUID, or from `time_col`, which may be text.
+
+    Nothing raises and nothing is dropped: what follows decides on `reason`, in the same scan.
+    """
+    raw = F.col(uuid_col or time_col)
+    if uuid_col:
+        time = F.when(is_timeuuid(raw), time_of_timeuuid(raw))
+    elif isinstance(events.schema[time_col].dataType, StringType):
+        time = F.try_to_timestamp(raw)
+    else:
+        time = raw
+    reason = F.when(raw.isNull(), NO_TIME).when(time.isNull(), UNREADABLE_TIME)
+    rows = events.withColumns({"reason": reason, "event": F.to_json(F.struct(*events.columns))})
+    # The text is made for events that are not counted only.
+    rows = rows.withColumn("event", F.when(F.col("reason").isNotNull(), F.col("event")))
+    return rows.withColumn("ts", time)
+
+
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where none of the columns is NULL."""
     for name in columns:

@@ -49,7 +49,9 @@ def attach(df: DataFrame, dim: DataFrame, *columns: str, key: str = "job_id") ->
     return df.drop(*columns).join(dim.select(key, *columns), key, "left")
 
 
-def hourly_metrics_of_dimension(events: DataFrame, dim: DataFrame, **options) -> DataFrame:
+def hourly_metrics_of_dimension(
+    events: DataFrame, dim: DataFrame, extra: tuple[str, ...] = (), **options
+) -> DataFrame:
     """Hourly metrics whose campaign and group come from the job, not from the event.
 
     The job fixes both, so grouping by job first and joining the groups gives the same
@@ -57,7 +59,7 @@ def hourly_metrics_of_dimension(events: DataFrame, dim: DataFrame, **options) ->
     """
     from hirefunnel.operators.metrics import hourly_metrics
 
-    by_job = hourly_metrics(events, keys=["job_id", "publisher_id"], **options)
+    by_job = hourly_metrics(events, keys=["job_id", "publisher_id", *extra], **options)
     return attach(by_job, dim, "campaign_id", "group_id", "company_id")
 
 

@@ -12,6 +12,7 @@ from hirefunnel.operators import enrich, incremental, merge, metrics, reconcile,
 from hirefunnel.plans import publish
 from hirefunnel.plans.jobs import enriched_metrics, run_batch, run_incremental
 from hirefunnel.schema import BATCH, INCREMENTAL, KINDS, PRECEDENCE, STREAM
+from hirefunnel.sources import segments
 from hirefunnel.sources.tables import read_fact
 from hirefunnel.streaming import jobs as streaming
 from hirefunnel.workspace import scratch
@@ -222,6 +223,26 @@ def batch_averages(spark: SparkSession, sf: str) -> DataFrame:
     return read_fact(spark, table, averages=True)
 
 
+def _batch_of_text_times(spark: SparkSession, sf: str) -> str:
+    table = scratch(spark, "text-times")
+    rows, stamp = fx.with_text_times(fx.tracking(spark, sf)), fx.stamp(fx.BATCH_STAMP)
+    run_batch(rows, fx.job(spark, sf), table, uuid_col=None, updated_at=stamp)
+    return table
+
+
+def batch_text_times(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch over a log with text times, some of them missing or unreadable."""
+    return read_fact(spark, _batch_of_text_times(spark, sf))
+
+
+def batch_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The events that this batch did not count, and why."""
+    refused = segments.read_rejects(spark, _batch_of_text_times(spark, sf), BATCH)
+    names = ("create_time", "job_id", "custom_track", "ts")
+    fields = [F.get_json_object("event", f"$.{n}").alias(n) for n in names]
+    return refused.select("reason", *fields, "n")
+
+
 def batch_tombstones(spark: SparkSession, sf: str) -> DataFrame:
     """A second batch over a log that has lost every sixth hour and one publisher."""
     table = scratch(spark, "tombstones")
@@ -393,6 +414,8 @@ QUERIES = {
         batch_job,
         batch_late_job,
         batch_averages,
+        batch_text_times,
+        batch_rejects,
         batch_tombstones,
         fact_of_version,
         incremental_job,

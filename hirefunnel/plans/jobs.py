@@ -8,13 +8,21 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirefunnel.functions.events import require, with_event_time
+from hirefunnel.functions.events import require, sifted
 from hirefunnel.operators.enrich import attach, hourly_metrics_of_dimension, prepare_dimension
 from hirefunnel.operators.incremental import arrivals, hour_before, touched_hours
 from hirefunnel.operators.merge import to_state
 from hirefunnel.operators.metrics import hourly_metrics
 from hirefunnel.plans.publish import upsert
-from hirefunnel.schema import BATCH, EMPTY_MARK, INCREMENTAL, JOB_MERGE_KEYS, MERGE_KEYS, STATE
+from hirefunnel.schema import (
+    BATCH,
+    EMPTY_MARK,
+    EVENT_KEYS,
+    INCREMENTAL,
+    JOB_MERGE_KEYS,
+    MERGE_KEYS,
+    STATE,
+)
 from hirefunnel.sources import segments
 
 # How far back an incremental run looks for events that arrived late, and how far ahead of the
@@ -24,16 +32,20 @@ TOLERANCE = "5 minutes"
 
 
 def enriched_metrics(
-    events: DataFrame, dim: DataFrame, key_source: str = "event", **options
+    events: DataFrame,
+    dim: DataFrame,
+    key_source: str = "event",
+    extra: tuple[str, ...] = (),
+    **options,
 ) -> DataFrame:
     """Hourly metrics with the company of the job.
 
     `key_source` says whose campaign and group the metrics are grouped by: those of the
-    'event' or those of the job ('dimension').
+    'event' or those of the job ('dimension'). `extra` are more columns to group by.
     """
     if key_source == "dimension":
-        return hourly_metrics_of_dimension(events, dim, **options)
-    return attach(hourly_metrics(events, **options), dim, "company_id")
+        return hourly_metrics_of_dimension(events, dim, extra, **options)
+    return attach(hourly_metrics(events, keys=[*EVENT_KEYS, *extra], **options), dim, "company_id")
 
 
 def merge_keys(key_source: str) -> list[str]:
@@ -52,13 +64,21 @@ def run_batch(
     """Recompute every hour from the whole log and replace all that the writer has stored.
 
     Hours and keys that the log no longer has are gone afterwards. The time of an event comes
-    from its time-UUID, or from `ts` if `uuid_col` is None.
+    from its time-UUID, or from `ts`, which may be text, if `uuid_col` is None. Events whose time is
+    missing or unreadable are put into the table's quarantine with the reason. They are groups of
+    their own in the one aggregation of the log, and the groups are kept for the two writes.
     """
     started = time.time()
-    events = with_event_time(tracking, uuid_col) if uuid_col else require(tracking, "ts")
-    metrics = enriched_metrics(events, prepare_dimension(job), key_source, exact=True)
-    rows = to_state(metrics, BATCH, updated_at)
-    upsert(rows, table, BATCH, run_id or uuid.uuid4().hex, "rewrite", started=started)
+    events = sifted(tracking, uuid_col)
+    dim = prepare_dimension(job)
+    groups = enriched_metrics(events, dim, key_source, ("reason", "event"), exact=True).persist()
+    try:
+        rows = to_state(groups.where("reason IS NULL"), BATCH, updated_at)
+        rejects = groups.where("reason IS NOT NULL").select("reason", "event", F.col("events").alias("n"))
+        run = run_id or uuid.uuid4().hex
+        upsert(rows, table, BATCH, run, "rewrite", started=started, rejects=rejects)
+    finally:
+        groups.unpersist()
 
 
 def run_incremental(

@@ -225,6 +225,7 @@ def _exact(label: str, stamp: str) -> str:
   ) m LEFT JOIN job j ON m.job_id = j.job_id"""
 
 
+_BAD = "((job_id = 1 AND group_id IS NULL) OR (job_id = 2 AND publisher_id IS NULL))"
 _AHEAD = """(SELECT * FROM tracking UNION ALL
             SELECT * REPLACE (ts + INTERVAL 60 YEAR AS ts) FROM tracking
             WHERE job_id = 3 AND publisher_id IS NULL)"""
@@ -299,6 +300,13 @@ _SELECTS = {
     "batch_job": _BATCH_FACT,
     "batch_late_job": _dimension_metrics(BATCH, BATCH_STAMP),
     "batch_averages": _exact(BATCH, BATCH_STAMP),
+    "batch_text_times": _fact(f"(SELECT * FROM tracking WHERE NOT {_BAD})", BATCH, BATCH_STAMP),
+    "batch_rejects": f"""
+        SELECT CASE WHEN job_id = 1 THEN 'unreadable time' ELSE 'no time' END AS reason,
+               create_time, cast(job_id AS varchar) AS job_id, custom_track,
+               CASE WHEN job_id = 1 THEN 'not a time' END AS ts, count(*) AS n
+        FROM tracking WHERE {_BAD}
+        GROUP BY job_id, create_time, custom_track, bid, publisher_id, campaign_id, group_id""",
     "batch_tombstones": _fact(
         "(SELECT * FROM tracking WHERE hour(ts) % 6 <> 0 AND publisher_id IS NOT NULL)",
         BATCH,

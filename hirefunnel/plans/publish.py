@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hirefunnel.operators import merge
-from hirefunnel.schema import FACT, MERGE_KEYS, STATE, check_sink_schema
+from hirefunnel.schema import FACT, MERGE_KEYS, REJECTS, STATE, check_sink_schema
 from hirefunnel.sources import files, segments
 from hirefunnel.sources.segments import BASE, DELTAS, HOURS, TOTALS, Segment, Version
 
@@ -56,13 +56,15 @@ def upsert(
     since: str | None = None,
     mark: str | None = None,
     started: float | None = None,
+    rejects: DataFrame | None = None,
 ) -> bool:
     """Publish the rows of one run of one writer, once; whether they were published now.
 
     `how` is 'rewrite' for all that the writer has, 'hours' for all from the hour `since` on,
     'replace' for the full totals of some `keys`, or 'accumulate' for totals of new events only.
     Rows have the columns of `schema.STATE`; fact rows are taken too, with amounts rounded as they
-    are. `run_id` names the run: giving the last one again changes nothing.
+    are. `run_id` names the run: giving the last one again changes nothing. `rejects` are the events
+    that the run does not count; they are published with its version.
     """
     spark = rows.sparkSession
     started = time.time() if started is None else started
@@ -76,11 +78,22 @@ def upsert(
         return False
     number = _next(spark, path, source)
     held = _write_segment(rows, path, source, number)
+    if rejects is not None:
+        refused = check_sink_schema(rejects, REJECTS)
+        refused.write.mode("overwrite").parquet(segments.rejects_path(path, source, number))
     new = Segment(number, KIND_OF[how], held, since, tuple(keys))
     earlier = () if how == "rewrite" or last is None else last.segments
     kept = (*earlier, new) if held or how == "hours" else earlier
-    _publish(spark, path, source, Version(number, run_id, kept, mark or (last.mark if last else None),
-                                          round(time.time() - started, 3), _now()))
+    version = Version(
+        number,
+        run_id,
+        kept,
+        mark=mark or (last.mark if last else None),
+        seconds=round(time.time() - started, 3),
+        finished=time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime()),
+        rejects=number if rejects is not None else None,
+    )
+    _publish(spark, path, source, version)
     while _merge_tier(spark, path, source):
         pass
     _remove_old(spark, path, source)
@@ -98,10 +111,6 @@ def compact(spark: SparkSession, path: str, source: str) -> None:
     _remove_old(spark, path, source)
 
 
-def _now() -> str:
-    return time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
-
-
 def _next(spark: SparkSession, path: str, source: str) -> int:
     known = segments.version_numbers(spark, path, source)
     return known[-1] + 1 if known else 1
@@ -140,15 +149,14 @@ def _remove_old(spark: SparkSession, path: str, source: str) -> None:
     known = segments.version_numbers(spark, path, source)
     for number in known[:-KEPT_VERSIONS]:
         files.delete(spark, segments.version_path(path, source, number))
-    kept = known[-KEPT_VERSIONS:]
-    used = {
-        s.number for n in kept for s in segments.version(spark, path, source, n).segments
-    }
-    for name in files.names(spark, f"{path}/_segments/writer={source}"):
-        number = int(name.removeprefix("segment="))
-        # A later number may belong to a run that is about to publish.
-        if number not in used and number <= kept[-1]:
-            files.delete(spark, segments.segment_path(path, source, number))
+    kept = [segments.version(spark, path, source, n) for n in known[-KEPT_VERSIONS:]]
+    used = {s.number for v in kept for s in v.segments}
+    for folder, named in (("_segments", used), ("_quarantine", {v.rejects for v in kept})):
+        for name in files.names(spark, f"{path}/{folder}/writer={source}"):
+            number = int(name.removeprefix("segment="))
+            # A later number may belong to a run that is about to publish.
+            if number not in named and number <= known[-1]:
+                files.delete(spark, f"{path}/{folder}/writer={source}/{name}")
 
 
 def _laid_out(rows: DataFrame, layout: list[str]) -> DataFrameWriter:

@@ -110,6 +110,9 @@ STATE = _struct(
     sources=StringType(),
 )
 
+# Events that were not counted: why, the event as JSON, and how many alike there were.
+REJECTS = _struct(reason=StringType(), event=StringType(), n=LongType())
+
 
 def check_sink_schema(df: DataFrame, expected: StructType = FACT) -> DataFrame:
     """Refuse rows that do not fit the sink before anything is written."""

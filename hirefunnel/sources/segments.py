@@ -1,6 +1,7 @@
 """The stored fact table: segments written once, and versions that say which of them count.
 
     <table>/_segments/writer=<w>/segment=<n>/dates=<d>/   rows of one run, never changed
+    <table>/_quarantine/writer=<w>/segment=<n>/           events that the run did not count
     <table>/_versions/<w>/<n>.json                        the segments of one state, and its run
 
 A version appears with one rename and is never changed, so a writer's state is that of its latest
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from hirefunnel.operators.merge import added
-from hirefunnel.schema import MERGE_KEYS, STATE
+from hirefunnel.schema import MERGE_KEYS, REJECTS, STATE
 from hirefunnel.sources import files
 
 BASE, HOURS, TOTALS, DELTAS = "base", "hours", "totals", "deltas"
@@ -56,7 +57,8 @@ class Version:
     mark: str | None = None
     seconds: float | None = None
     finished: str | None = None
-    notes: dict = field(default_factory=dict)
+    # Number of the segment with the events that the run did not count.
+    rejects: int | None = None
 
     def text(self) -> str:
         return json.dumps(asdict(self))
@@ -76,6 +78,10 @@ def segment_path(table: str, writer: str, number: int) -> str:
     return f"{table}/_segments/writer={writer}/segment={number}"
 
 
+def rejects_path(table: str, writer: str, number: int) -> str:
+    return f"{table}/_quarantine/writer={writer}/segment={number}"
+
+
 def version_numbers(spark: SparkSession, table: str, writer: str) -> list[int]:
     """Numbers of the versions that are kept, ascending."""
     found = files.names(spark, f"{table}/_versions/{writer}")
@@ -164,6 +170,15 @@ def read_state(spark: SparkSession, table: str, writer: str, number: int | None
     return resolved(spark, table, writer, found.segments if found else [])
 
 
+def read_rejects(spark: SparkSession, table: str, writer: str, number: int | None = None) -> DataFrame:
+    """The events that the latest run (or the one with a number) of a writer did not count: reason,
+    event as JSON, how often. It belongs to the version, as the rows do."""
+    found = version(spark, table, writer, number)
+    if found is None or found.rejects is None:
+        return spark.createDataFrame([], REJECTS)
+    return spark.read.schema(REJECTS).parquet(rejects_path(table, writer, found.rejects))
+
+
 def history(spark: SparkSession, table: str) -> DataFrame:
     """The versions that are kept: writer, number, run, mark, rows and segments, elapsed seconds."""
     rows = []

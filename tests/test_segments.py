@@ -258,3 +258,49 @@ def test_mark_is_not_read_from_the_fact(spark, folder, monkeypatch):
     assert not incremental(spark, table, *log, lookback="2 hours")
     plan = read[0].where(segments.from_hour("2024-01-01 08"))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "dates" in plan[plan.index("PartitionFilters") :][:200]
+
+
+# --- events that are not counted -----------------------------------------------------
+
+def test_unreadable_text_time_goes_to_the_quarantine(spark, folder):
+    table, dim = f"{folder}/t", jobs(spark, (1, "x", "c", "g"))
+    log = events(spark, event(), event("2024-01-01 11:00:00"), event(job_id=5), event(job_id=5), event(job_id=6))
+    bad = F.when(F.col("job_id") == 5, "not a time").when(F.col("job_id") == 6, F.lit(None))
+    log = log.withColumn("ts", bad.otherwise(F.col("ts").cast("string")))
+    run_batch(log, dim, table, uuid_col=None, key_source="dimension")
+    assert clicks(read_fact(spark, table)) == {("2024-01-01", 10): 1, ("2024-01-01", 11): 1}
+    refused = segments.read_rejects(spark, table, BATCH)
+    shown = refused.select("reason", F.get_json_object("event", "$.ts"), F.get_json_object("event", "$.job_id"), "n")
+    assert sorted(map(tuple, shown.collect())) == [("no time", None, "6", 1), ("unreadable time", "not a time", "5", 2)]
+    # The next run's rejects take their place, a version keeps its own.
+    run_batch(events(spark, event()), dim, table, uuid_col=None)
+    assert segments.read_rejects(spark, table, BATCH).isEmpty()
+    assert segments.read_rejects(spark, table, BATCH, 1).count() == 2
+    assert segments.read_rejects(spark, table, STREAM).isEmpty()
+
+
+def test_malformed_time_uuid_goes_to_the_quarantine(spark, folder):
+    good = "1b21dd00-a8a1-11ee-8000-000000000000"
+    log = events(spark, event(create_time=good), event(create_time="zzz"), event())
+    run_batch(log, jobs(spark, (1, "x", "c", "g")), f"{folder}/t")
+    assert read_fact(spark, f"{folder}/t").agg(F.sum("clicks")).first()[0] == 1
+    reasons = {r.reason: r.n for r in segments.read_rejects(spark, f"{folder}/t", BATCH).collect()}
+    assert reasons == {"no time": 1, "unreadable time": 1}
+
+
+def test_metrics_and_rejects_come_from_one_scan(spark, folder, monkeypatch):
+    from hirefunnel.plans import jobs as plans
+
+    kept = []
+    to_state = merge.to_state
+    monkeypatch.setattr(plans, "to_state", lambda rows, *a: kept.append(rows) or to_state(rows, *a))
+    events(spark, event(), event("x")).write.parquet(f"{folder}/log")
+    run_batch(spark.read.parquet(f"{folder}/log"), jobs(spark, (1, "x", "c", "g")), f"{folder}/t", uuid_col=None)
+    plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") <= 1
+
+
+def test_hourly_metrics_of_text_times(spark):
+    log = events(spark, event(), event(), event("2024-01-01 11:00:00")).withColumn("ts", F.col("ts").cast("string"))
+    log = log.withColumn("ts", F.when(F.col("ts") < "2024-01-01 11", F.col("ts")).otherwise("soon"))
+    assert clicks(hourly_metrics(log)) == {("2024-01-01", 10): 2, (None, None): 1}
