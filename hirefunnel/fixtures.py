@@ -77,9 +77,9 @@ def dated_ahead(events: DataFrame) -> DataFrame:
 
 
 def epochs(spark: SparkSession, events: DataFrame, path: str, n: int = 5) -> DataFrame:
-    """The log as a stream of messages that arrive in `n` micro-batches, each with events of all
-    times."""
-    to_envelope(events).repartition(n, "value").write.parquet(path)
+    """The log sent to a folder of messages in `n` files more, each with events of all times, and the
+    stream of these messages, a file per micro-batch."""
+    to_envelope(events).repartition(n, "value").write.mode("append").parquet(path)
     return read_files(spark, path, "key string, value string", maxFilesPerTrigger="1")
 
 

@@ -23,6 +23,11 @@ def prepare_dimension(
     measures, so it is an error.
     """
     dim = dim.where(F.col(key).isNotNull())
+    return F.broadcast(dim) if proven_bytes(dim, key) <= broadcast_bytes else dim
+
+
+def proven_bytes(dim: DataFrame, key: str = "job_id") -> int:
+    """Size of a dimension whose keys are found to be unique; an error if they are not."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) for f in dim.schema),
         F.lit(16 * len(dim.columns)),
@@ -38,7 +43,7 @@ def prepare_dimension(
     )
     if (size.copies or 0) > 1:
         raise ValueError(f"dimension key {key} is not unique: one value has {size.copies} rows")
-    return F.broadcast(dim) if size.bytes <= broadcast_bytes else dim
+    return size.bytes
 
 
 def attach(df: DataFrame, dim: DataFrame, *columns: str, key: str = "job_id") -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirefunnel.operators.merge import union_sources
 from hirefunnel.operators.metrics import bid_amount
 from hirefunnel.schema import BATCH, COUNTS, FACT_KEYS, STREAM
+from hirefunnel.sources import segments
 
 
 def layer_counts(events: DataFrame, messages: DataFrame, fact: DataFrame) -> DataFrame:
@@ -27,6 +28,24 @@ def layer_counts(events: DataFrame, messages: DataFrame, fact: DataFrame) -> Dat
     )
 
 
+def recorded_counts(spark: SparkSession, published: int, table: str) -> DataFrame:
+    """Events per layer as the jobs recorded them while they ran; the log is not read again.
+
+    `published` is what `publish_messages` gave back. The stream and the batch account for every event
+    they counted, whatever its kind, and the batch's quarantine for those it refused.
+    """
+    held = {
+        "stream": segments.read_state(spark, table, STREAM).agg(F.coalesce(F.sum("events"), F.lit(0)).alias("n")),
+        "warehouse": segments.read_state(spark, table, BATCH).agg(F.coalesce(F.sum("events"), F.lit(0)).alias("n")),
+        "quarantine": segments.read_rejects(spark, table, BATCH).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")),
+    }
+    sent = spark.range(1).select(F.lit(published).cast("bigint").alias("n"))
+    layers = {"broker": sent} | held
+    return union_sources(
+        *[n.select(F.lit(layer).alias("layer"), F.col("n")) for layer, n in layers.items()]
+    )
+
+
 def drift(fact: DataFrame, batch: str = BATCH, stream: str = STREAM) -> DataFrame:
     """Counts of both writers side by side per business key, and batch minus stream.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirefunnel.operators.metrics import half_up
@@ -63,12 +63,25 @@ def grand_total(fact: DataFrame) -> DataFrame:
     return fact.agg((_total("clicks") + _total("conversion")).alias("total"))
 
 
+def _newest() -> list:
+    """Latest rows first; the whole key is part of the order, so that ties decide nothing."""
+    latest = [F.col("updated_at").desc(), F.col("dates").desc(), F.col("hours").desc()]
+    return [*latest, *EVENT_KEYS, "company_id"]
+
+
+def newest_per_source(fact: DataFrame, n: int) -> DataFrame:
+    """The first n rows of every writer with their `rank`, in one pass.
+
+    Each task keeps n rows per writer before anything is shuffled, and only those are ranked.
+    """
+    rank = F.row_number().over(Window.partitionBy("sources").orderBy(*_newest()))
+    return fact.withColumn("rank", rank).where(F.col("rank") <= n)
+
+
 def newest_first(fact: DataFrame, source: str, n: int | None = None) -> DataFrame:
     """Rows of one writer, latest `updated_at` first; `n` keeps the first n of them.
 
     The whole key is part of the order, so ties do not decide which rows are kept.
     """
-    latest = [F.col("updated_at").desc(), F.col("dates").desc(), F.col("hours").desc()]
-    order = [*latest, *EVENT_KEYS, "company_id"]
-    rows = fact.where(F.col("sources") == source).orderBy(*order)
+    rows = fact.where(F.col("sources") == source).orderBy(*_newest())
     return rows if n is None else rows.limit(n)

@@ -13,12 +13,14 @@ from hirefunnel.plans import publish
 from hirefunnel.plans.jobs import enriched_metrics, run_batch, run_incremental
 from hirefunnel.schema import BATCH, INCREMENTAL, KINDS, PRECEDENCE, STREAM
 from hirefunnel.sources import segments
+from hirefunnel.sources.streams import read_files
 from hirefunnel.sources.tables import read_fact
 from hirefunnel.streaming import jobs as streaming
 from hirefunnel.workspace import scratch
 
 LOOKUP_JOB = 2
 LOOKBACK = "2 hours"
+NEWEST = 25
 
 
 def _stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
@@ -334,6 +336,47 @@ def stream_deltas_fine_bids(spark: SparkSession, sf: str) -> DataFrame:
     return read_fact(spark, f"{folder}/events", averages=True)
 
 
+def capture_since(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of a capture that began one minute before SPLIT, was stopped and started again."""
+    folder, now = scratch(spark, "capture"), F.lit(fx.SPLIT).cast("timestamp")
+    for _ in range(2):
+        query = streaming.start_capture(
+            fx.tracking_stream(spark, sf),
+            "parquet",
+            f"{folder}/checkpoint",
+            now=now,
+            trigger={"availableNow": True},
+            path=f"{folder}/topic",
+        )
+        query.awaitTermination()
+        now = now + F.expr("INTERVAL 1 DAY")
+    return spark.read.schema("key string, value string").parquet(f"{folder}/topic")
+
+
+def stream_epochs_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals over four micro-batches, keyed by a job table whose files are replaced after
+    the second. The log is sent twice, so every total moves to the job's new campaign."""
+    folder, job = scratch(spark, "epochs"), fx.job(spark, sf)
+    early = job.where("job_id % 2 = 0").withColumn("campaign_id", F.lit("before"))
+
+    def read_job(session: SparkSession) -> DataFrame:
+        return session.read.schema(job.schema).parquet(f"{folder}/job")
+
+    for dim in (early, job):
+        dim.coalesce(1).write.mode("overwrite").parquet(f"{folder}/job")
+        query = streaming.start_running_totals(
+            fx.epochs(spark, fx.tracking(spark, sf), f"{folder}/topic", 2),
+            read_job,
+            f"{folder}/events",
+            f"{folder}/checkpoint",
+            key_source="dimension",
+            trigger={"availableNow": True},
+            updated_at=fx.stamp(fx.STREAM_STAMP),
+        )
+        query.awaitTermination()
+    return read_fact(spark, f"{folder}/events")
+
+
 # --- serving -------------------------------------------------------------------------
 
 def job_list(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,6 +403,10 @@ def latest_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return serving.newest_first(fx.both_facts(spark, sf), STREAM)
 
 
+def newest_per_source(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.newest_per_source(fx.both_facts(spark, sf), NEWEST)
+
+
 # --- reconciliation ------------------------------------------------------------------
 
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,6 +414,21 @@ def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.layer_counts(rows, envelope.to_envelope(rows), fx.batch_fact(spark, sf))
 
 
+def recorded_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per layer as the sink of messages, the stream and the batch counted them."""
+    folder, job = scratch(spark, "counts"), fx.job(spark, sf)
+    log = fx.with_text_times(fx.tracking(spark, sf))
+    typed = ev.sifted(log).drop("reason", "event")
+    sent = streaming.publish_messages(envelope.to_envelope(typed), "parquet", path=f"{folder}/topic")
+    messages = read_files(spark, f"{folder}/topic", "key string, value string")
+    query = streaming.start_deltas(
+        messages, job, f"{folder}/events", f"{folder}/checkpoint", trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+    run_batch(log, job, f"{folder}/events", uuid_col=None)
+    return reconcile.recorded_counts(spark, sent, f"{folder}/events")
+
+
 def drift_report(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.drift(fx.both_facts(spark, sf))
 
@@ -431,6 +493,10 @@ QUERIES = {
         conversion_funnel,
         grand_total,
         latest_by_source,
+        newest_per_source,
+        capture_since,
+        stream_epochs_dimension,
+        recorded_counts,
         layer_counts,
         drift_report,
         drift_agreement,

@@ -7,7 +7,7 @@ IS NOT DISTINCT FROM, and merges are full joins.
 from __future__ import annotations
 
 from hirefunnel.fixtures import BATCH_STAMP, SPLIT, STREAM_STAMP
-from hirefunnel.plans.catalogue import LOOKUP_JOB
+from hirefunnel.plans.catalogue import LOOKUP_JOB, NEWEST
 from hirefunnel.schema import BATCH, INCREMENTAL, STREAM
 
 _UUID = (
@@ -142,11 +142,11 @@ def _full_join(fill_keys: bool, fill: bool) -> str:
     return out
 
 
-def _dimension_metrics(label: str | None = None, stamp: str | None = None) -> str:
+def _dimension_metrics(label: str | None = None, stamp: str | None = None, log: str = "tracking") -> str:
     """Every event joined to its job first, then grouped."""
-    joined = """(SELECT t.ts, t.job_id, t.custom_track, t.bid, t.publisher_id,
+    joined = f"""(SELECT t.ts, t.job_id, t.custom_track, t.bid, t.publisher_id,
                         j.campaign_id, j.group_id, j.company_id
-                 FROM tracking t LEFT JOIN job j ON t.job_id = j.job_id)"""
+                 FROM {log} t LEFT JOIN job j ON t.job_id = j.job_id)"""
     rows = _metrics(joined, f"{_EVENT_KEYS}, company_id")
     if label is None:
         return rows
@@ -338,6 +338,24 @@ _SELECTS = {
     "grand_total": """
         SELECT count(*) AS total FROM tracking WHERE custom_track IN ('click', 'conversion')""",
     "latest_by_source": f"{_LAGGING} ORDER BY updated_at DESC",
+    "newest_per_source": f"""
+        SELECT * FROM (
+          SELECT *, row_number() OVER (
+                      PARTITION BY sources
+                      ORDER BY updated_at DESC, dates DESC NULLS LAST, hours DESC NULLS LAST,
+                               job_id NULLS FIRST, publisher_id NULLS FIRST, campaign_id NULLS FIRST,
+                               group_id NULLS FIRST, company_id NULLS FIRST) AS rank
+          FROM ({_LAGGING} UNION ALL {_BATCH_FACT}))
+        WHERE rank <= {NEWEST}""",
+    "capture_since": f"SELECT * FROM ({_MESSAGE} WHERE ts >= TIMESTAMP '{SPLIT}' - INTERVAL 1 MINUTE)",
+    "stream_epochs_dimension": _dimension_metrics(
+        STREAM, STREAM_STAMP, "(SELECT * FROM tracking UNION ALL SELECT * FROM tracking)"
+    ),
+    "recorded_counts": f"""
+        SELECT 'broker' AS layer, count(*) AS n FROM tracking
+        UNION ALL SELECT 'stream', count(*) FROM tracking
+        UNION ALL SELECT 'warehouse', count(*) FROM tracking WHERE NOT {_BAD}
+        UNION ALL SELECT 'quarantine', count(*) FROM tracking WHERE {_BAD}""",
     "layer_counts": """
         SELECT 'source' AS layer, count(*) AS n FROM tracking
         UNION ALL SELECT 'broker', count(*) FROM tracking

@@ -48,3 +48,13 @@ def delete(spark: SparkSession, path: str) -> None:
     """A file or a folder with all it holds; nothing happens if it is absent."""
     files, place = _at(spark, path)
     files.delete(place, True)
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
+    """Path, length and time of files, ascending; nothing of them is read."""
+    out = []
+    for path in sorted(paths):
+        files, place = _at(spark, path)
+        status = files.getFileStatus(place)
+        out.append((path, status.getLen(), status.getModificationTime()))
+    return tuple(out)

@@ -21,17 +21,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hirefunnel.functions.envelope import parse_envelope
-from hirefunnel.operators.enrich import attach, prepare_dimension
+from hirefunnel.functions.envelope import parse_envelope, to_envelope
+from hirefunnel.operators.enrich import attach
 from hirefunnel.operators.merge import to_state
 from hirefunnel.operators.metrics import hourly_metrics
 from hirefunnel.plans.jobs import enriched_metrics, merge_keys
 from hirefunnel.plans.publish import last_run, upsert
 from hirefunnel.schema import EVENT_KEYS, STREAM
+from hirefunnel.sources import files
+from hirefunnel.streaming.dimension import Dimension, Reader
 from hirefunnel.workspace import ROCKSDB, STATE_STORE, setting
 
 # Fixed value: how often the stream looks for new messages.
@@ -75,7 +77,7 @@ def _start(
 
 def start_running_totals(
     messages: DataFrame,
-    job: DataFrame,
+    job: DataFrame | Reader,
     table: str,
     checkpoint: str,
     key_source: str = "event",
@@ -92,10 +94,10 @@ def start_running_totals(
     """
     events = parse_envelope(messages)
     totals = hourly_metrics(events, keys=_keys(key_source), watermark=watermark, exact=True)
-    run_id, keys = _run_ids(checkpoint), merge_keys(key_source)
+    run_id, keys, dimension = _run_ids(checkpoint), merge_keys(key_source), Dimension(job)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        rows = attach(batch, prepare_dimension(job), *_columns(key_source))
+        rows = attach(batch, dimension.current(batch.sparkSession), *_columns(key_source))
         rows = to_state(rows, STREAM, updated_at)
         upsert(rows, table, STREAM, run_id(batch, epoch), keys=keys)
 
@@ -107,7 +109,7 @@ def start_running_totals(
 
 def start_deltas(
     messages: DataFrame,
-    job: DataFrame,
+    job: DataFrame | Reader,
     table: str,
     checkpoint: str,
     key_source: str = "event",
@@ -117,14 +119,15 @@ def start_deltas(
 ) -> StreamingQuery:
     """Totals of each trigger's events only, added to the table once per epoch."""
     events = parse_envelope(messages)
-    run_id = _run_ids(checkpoint)
+    run_id, dimension = _run_ids(checkpoint), Dimension(job)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         this = run_id(batch, epoch)
         last = last_run(batch.sparkSession, table, STREAM)
         if last and last.split("#")[0] != this.split("#")[0]:
             raise ValueError(f"{table} holds totals of another query: {last}, not of {this}")
-        rows = enriched_metrics(batch, prepare_dimension(job), key_source, exact=True)
+        dim = dimension.current(batch.sparkSession)
+        rows = enriched_metrics(batch, dim, key_source, exact=True)
         upsert(to_state(rows, STREAM, updated_at), table, STREAM, this, "accumulate")
 
     return _start(events, sink, checkpoint, "append", trigger, name)
@@ -133,10 +136,41 @@ def start_deltas(
 def publish_messages(messages: DataFrame, fmt: str, checkpoint: str | None = None, **options):
     """Write keyed messages to a topic (`fmt='kafka'`) or to files.
 
-    A batch frame is written at once. A streaming frame is captured from now on: its
-    checkpoint remembers which source rows were published.
+    A batch frame is written at once; the number of messages that were written comes back. A
+    streaming frame is captured from now on: its checkpoint remembers which source rows were
+    published, and its progress how many.
     """
     if messages.isStreaming:
         writer = messages.writeStream.format(fmt).options(**options)
         return writer.option("checkpointLocation", checkpoint).start()
-    return messages.write.format(fmt).mode("append").options(**options).save()
+    # Counted while they are written, not by a second scan.
+    seen = Observation()
+    counted = messages.observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.write.format(fmt).mode("append").options(**options).save()
+    return seen.get.get("n", 0)
+
+
+def start_capture(
+    events: DataFrame,
+    fmt: str,
+    checkpoint: str,
+    lookback: str = "1 minute",
+    time_col: str = "ts",
+    now: Column | None = None,
+    trigger: dict = TRIGGER,
+    **options,
+) -> StreamingQuery:
+    """Publish the events of a streaming log that are dated from `lookback` before now on.
+
+    Where the capture begins is written down beside its checkpoint when it is started first, and
+    holds for every later start; the test reaches the file reader. Each event is published once.
+    """
+    spark, record = events.sparkSession, f"{checkpoint}-begin.json"
+    folder, name = record.rsplit("/", 1)
+    if name not in files.names(spark, folder):
+        at = (F.current_timestamp() if now is None else now) - F.expr(f"INTERVAL {lookback}")
+        files.write_new(spark, record, spark.range(1).select(at.cast("string")).first()[0])
+    begin = F.lit(files.read(spark, record)).cast(events.schema[time_col].dataType)
+    messages = to_envelope(events.where(F.col(time_col) >= begin))
+    writer = messages.writeStream.format(fmt).options(**options).trigger(**trigger)
+    return writer.option("checkpointLocation", checkpoint).start()

@@ -215,3 +215,19 @@ def test_job_that_arrives_late_replaces_its_unmatched_rows(spark, folder):
         run_batch(rows, dim, f"{folder}/t", key_source="dimension", uuid_col=None)
     got = sorted((r.clicks, r.campaign_id) for r in read_fact(spark, f"{folder}/t").collect())
     assert got == [(1, "c"), (1, "c")]
+
+
+def test_newest_per_source_with_ties(spark):
+    rows = merge.union_sources(
+        *[
+            fact(events(spark, *[event(f"2024-01-01 {h:02}:00:00", group_id=g) for h in range(4) for g in ("a", None)]), s)
+            for s in (BATCH, STREAM)
+        ]
+    )
+    got = serving.newest_per_source(rows, 3)
+    want = [(3, None, 1), (3, "a", 2), (2, None, 3)]
+    for source in (BATCH, STREAM):
+        mine = got.where(F.col("sources") == source).orderBy("rank").collect()
+        assert [(r.hours, r.group_id, r["rank"]) for r in mine] == want
+        assert [r.hours for r in serving.newest_first(rows, source, 3).collect()] == [3, 3, 2]
+    assert got._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2

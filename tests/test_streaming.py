@@ -204,3 +204,79 @@ def test_deltas_refuse_a_second_checkpoint(spark, topic, dim, folder):
     with pytest.raises(Exception, match="totals of another query"):
         _restart(streaming.start_deltas, topic, dim, folder)
     assert counts(spark, folder) == {(10, 1): 1}
+
+
+# --- dimension, capture, counts ------------------------------------------------------
+
+def test_dimension_is_proven_anew_only_when_its_files_change(spark, folder, monkeypatch):
+    from hirefunnel.streaming.dimension import Dimension, enrich
+
+    proofs = []
+    prove = enrich.proven_bytes
+    monkeypatch.setattr(enrich, "proven_bytes", lambda *a, **k: proofs.append(1) or prove(*a, **k))
+    path = f"{folder}/job"
+    jobs(spark, (1, "x", "c", "g")).write.parquet(path)
+    schema = "job_id int, company_id string, campaign_id string, group_id string"
+    dim = Dimension(lambda s: s.read.schema(schema).parquet(path))
+    assert [dim.current(spark).collect() for _ in range(3)] and len(proofs) == 1
+    plan = dim.current(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan
+    jobs(spark, (1, "y", "c", "g"), (2, "y", "c", "g")).write.mode("overwrite").parquet(path)
+    assert {r.company_id for r in dim.current(spark).collect()} == {"y"}
+    assert len(dim.current(spark).collect()) == 2 and len(proofs) == 2
+    jobs(spark, (2, "z", "c", "g")).write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match="not unique"):
+        dim.current(spark)
+    # Rows at hand have no files that could tell, so they are proven each time.
+    plain = Dimension(jobs(spark, (1, "x", "c", "g")))
+    plain.current(spark), plain.current(spark)
+    assert len(proofs) == 5
+
+
+def test_job_that_changes_between_epochs(spark, topic, folder):
+    path = f"{folder}/job"
+    schema = "job_id int, company_id string, campaign_id string, group_id string"
+    read = lambda s: s.read.schema(schema).parquet(path)
+    for company in ("x", "y"):
+        jobs(spark, (1, company, "c", "g")).write.mode("overwrite").parquet(path)
+        topic.send(event(), event("2024-01-01 11:00:00" if company == "y" else "2024-01-01 12:00:00"))
+        run(streaming.start_running_totals, topic, read, folder)
+    rows = {(r.hours, r.company_id): r.clicks for r in read_fact(spark, f"{folder}/t").collect()}
+    assert rows == {(10, "y"): 2, (11, "y"): 1, (12, "x"): 1}
+
+
+def test_capture_begins_where_it_first_began(spark, folder):
+    log = f"{folder}/log"
+    schema = events(spark, event()).schema
+
+    def capture(now):
+        query = streaming.start_capture(
+            read_files(spark, log, schema), "json", f"{folder}/ck",
+            now=F.lit(now).cast("timestamp"), trigger=NOW, path=f"{folder}/out",
+        )
+        query.awaitTermination()
+        rows = spark.read.schema("key string, value string").json(f"{folder}/out")
+        return sorted(r[0] for r in rows.select(F.get_json_object("value", "$.ts")).collect())
+
+    rows = [event(t) for t in ("2024-01-01 09:58:59", "2024-01-01 09:59:00", "2024-01-01 10:30:00", "bad")]
+    events(spark, *rows).coalesce(1).write.parquet(log)
+    first = capture("2024-01-01 10:00:00")
+    assert [t[11:19] for t in first] == ["09:59:00", "10:30:00"]
+    events(spark, event("2024-01-01 09:00:00"), event("2024-01-01 09:59:30")).coalesce(1).write.mode("append").parquet(log)
+    assert [t[11:19] for t in capture("2024-01-02 00:00:00")] == ["09:59:00", "09:59:30", "10:30:00"]
+
+
+def test_a_lost_message_shows_in_the_counts(spark, folder, dim):
+    from hirefunnel.operators import reconcile
+    from hirefunnel.plans.jobs import run_batch
+
+    log = events(spark, event(), event(kind="view"), event("bad"), event("2024-01-01 11:00:00"))
+    sent = streaming.publish_messages(envelope.to_envelope(log).coalesce(1), "parquet", path=f"{folder}/topic")
+    assert sent == 4 and streaming.publish_messages(envelope.to_envelope(log.limit(0)), "parquet", path=f"{folder}/none") == 0
+    kept = spark.read.schema("key string, value string").parquet(f"{folder}/topic").limit(3)
+    kept.write.parquet(f"{folder}/arrived")
+    stream = read_files(spark, f"{folder}/arrived", "key string, value string")
+    streaming.start_deltas(stream, dim, f"{folder}/t", f"{folder}/ck", trigger=NOW).awaitTermination()
+    run_batch(log, dim, f"{folder}/t", uuid_col=None)
+    counted = {r.layer: r.n for r in reconcile.recorded_counts(spark, sent, f"{folder}/t").collect()}
+    assert counted == {"broker": 4, "stream": 3, "warehouse": 3, "quarantine": 1}
