@@ -134,8 +134,7 @@ def encoded(
     `vocabulary` is the path of a tokenizer file, read by the driver and sent to every worker:
     its size is the vocabulary's, whatever the input.
     """
-    with open(vocabulary, encoding="utf-8") as file:
-        content = rows.sparkSession.sparkContext.broadcast(file.read())
+    content = _content(rows, vocabulary)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = encoder(content.value)
@@ -148,29 +147,41 @@ def encoded(
         columns = [batch.column(0), listed, decoded]
         return pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"])
 
-    source = rows.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
-    )
-    made = each_batch(source, make, "id long, ids array<int>, decoded string")
+    made = each_batch(_source(rows, id_col, text_col), make, "id long, ids array<int>, decoded string")
     return made.withColumnRenamed("id", id_col)
 
 
 def encoded_digests(
     rows: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256 for every row; ids and texts stay in the tasks."""
+    """id, n_tokens, ids_sha256, decoded_sha256 for every row. Ids and decoded texts are digested
+    where they are made, one text at a time."""
+    content = _content(rows, vocabulary)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = batch.column(1)
-        flat = ids.flatten().to_numpy().astype("<u4")
-        at = ids.offsets.to_numpy() - ids.offsets[0].as_py()
-        sha = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
-        back = [hashlib.sha256(t).hexdigest() for t in batch.column(2).cast(pa.binary()).to_pylist()]
+        own = encoder(content.value)
+        n, sha, back = [], [], []
+        for text in batch.column(1):
+            ids = own.encode(text.as_py() or "")
+            n.append(len(ids) // 4)
+            sha.append(hashlib.sha256(ids).hexdigest())
+            back.append(hashlib.sha256(own.decode(np.frombuffer(ids, "<u4")).encode()).hexdigest())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(sha), pa.array(back)],
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())],
             names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
-    source = encoded(rows, vocabulary, id_col, text_col)
+    source = _source(rows, id_col, text_col)
     made = each_batch(source, make, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return made.withColumnRenamed("id", id_col)
+
+
+def _content(rows: DataFrame, vocabulary: str):
+    with open(vocabulary, encoding="utf-8") as file:
+        return rows.sparkSession.sparkContext.broadcast(file.read())
+
+
+def _source(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return rows.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")
+    )
