@@ -23,6 +23,7 @@ KIND_OF_TYPE = {"signup": "conversion", "purchase": "qualified", "error": "unqua
 
 # Where a lagging writer stopped, and fixed time stamps for comparable results.
 SPLIT = "2024-01-20 12:30:00"
+EARLY = "2024-01-08 00:00:00"
 BATCH_STAMP = "2024-02-01 00:00:00"
 STREAM_STAMP = "2024-01-20 13:00:00"
 

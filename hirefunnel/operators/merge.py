@@ -72,6 +72,11 @@ def added(state: DataFrame) -> DataFrame:
     )
 
 
+def with_late(state: DataFrame, late: DataFrame, source: str) -> DataFrame:
+    """A writer's stored rows and the late ones beside them, added up under the writer's label."""
+    return added(state.unionByName(late).withColumn("sources", F.lit(source)))
+
+
 def same_key(left: str, right: str, keys: list[str]) -> Column:
     """Equality of key columns of two aliased frames in which NULL equals NULL."""
     return reduce(

@@ -58,6 +58,7 @@ def hourly_metrics(
     known_only: bool = False,
     watermark: str | None = None,
     exact: bool = False,
+    latest: bool = False,
 ) -> DataFrame:
     """Spend, average click bid and the four counts per date, hour and `keys`.
 
@@ -67,7 +68,8 @@ def hourly_metrics(
     arrives for them later is left to the batch job. With `exact` the measures are those of
     `schema.STATE`, which can be added up further, instead of rounded amounts.
 
-    A text time that cannot be read counts under a NULL date and hour.
+    A text time that cannot be read counts under a NULL date and hour. `latest` adds the latest time
+    of each group.
     """
     if known_only:
         events = only_known_kinds(events)
@@ -79,6 +81,7 @@ def hourly_metrics(
         F.sum(bid).alias("_spend"),
         F.count(bid).alias("_bids"),
         *([F.count_if(unusable).alias("unusable_bids"), F.count("*").alias("events")] if exact else []),
+        *([F.max(time_col).alias("latest")] if latest else []),
         *[F.count_if(_is(kind)).alias(name) for kind, name in MEASURE_OF_KIND.items()],
     ]
     if watermark:
@@ -102,7 +105,12 @@ def hourly_metrics(
     else:
         shown = rounded_amounts(spend, F.col("_bids"))
     return grouped.agg(*measures).select(
-        day.cast("string").alias("dates"), hour.alias("hours"), *keys, *shown, *MEASURE_OF_KIND.values()
+        day.cast("string").alias("dates"),
+        hour.alias("hours"),
+        *keys,
+        *shown,
+        *MEASURE_OF_KIND.values(),
+        *(["latest"] if latest else []),
     )
 
 

@@ -336,6 +336,26 @@ def stream_deltas_fine_bids(spark: SparkSession, sf: str) -> DataFrame:
     return read_fact(spark, f"{folder}/events", averages=True)
 
 
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Three micro-batches with a watermark: the newest events, the oldest, and those between. All
+    but the first come after their hours were closed."""
+    folder, rows, ts = scratch(spark, "late"), fx.tracking(spark, sf), F.col("ts")
+    parts = (ts >= fx.SPLIT, ts < fx.EARLY, (ts >= fx.EARLY) & (ts < fx.SPLIT))
+    for part in parts:
+        messages = fx.epochs(spark, rows.where(part), f"{folder}/topic", 1)
+    query = streaming.start_deltas(
+        messages,
+        fx.job(spark, sf),
+        f"{folder}/events",
+        f"{folder}/checkpoint",
+        watermark="2 hours",
+        trigger={"availableNow": True},
+        updated_at=fx.stamp(fx.STREAM_STAMP),
+    )
+    query.awaitTermination()
+    return read_fact(spark, f"{folder}/events")
+
+
 def capture_since(spark: SparkSession, sf: str) -> DataFrame:
     """Messages of a capture that began one minute before SPLIT, was stopped and started again."""
     folder, now = scratch(spark, "capture"), F.lit(fx.SPLIT).cast("timestamp")
@@ -495,6 +515,7 @@ QUERIES = {
         latest_by_source,
         newest_per_source,
         capture_since,
+        stream_late_rows,
         stream_epochs_dimension,
         recorded_counts,
         layer_counts,

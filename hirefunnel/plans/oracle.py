@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from hirefunnel.fixtures import BATCH_STAMP, SPLIT, STREAM_STAMP
 from hirefunnel.plans.catalogue import LOOKUP_JOB, NEWEST
-from hirefunnel.schema import BATCH, INCREMENTAL, STREAM
+from hirefunnel.schema import BATCH, INCREMENTAL, LATE, STREAM
 
 _UUID = (
     "substr({h}, 9, 8) || '-' || substr({h}, 5, 4) || '-1' || substr({h}, 2, 3)"
@@ -348,6 +348,9 @@ _SELECTS = {
           FROM ({_LAGGING} UNION ALL {_BATCH_FACT}))
         WHERE rank <= {NEWEST}""",
     "capture_since": f"SELECT * FROM ({_MESSAGE} WHERE ts >= TIMESTAMP '{SPLIT}' - INTERVAL 1 MINUTE)",
+    "stream_late_rows": f"""
+        {_fact(f"(SELECT * FROM tracking WHERE ts >= TIMESTAMP '{SPLIT}')", STREAM, STREAM_STAMP)}
+        UNION ALL {_fact(_BEFORE, LATE, STREAM_STAMP)}""",
     "stream_epochs_dimension": _dimension_metrics(
         STREAM, STREAM_STAMP, "(SELECT * FROM tracking UNION ALL SELECT * FROM tracking)"
     ),

@@ -34,6 +34,8 @@ BATCH = "Cassandra_Batch"
 STREAM = "Kafka_Streaming"
 INCREMENTAL = "Cassandra"
 PRECEDENCE = [BATCH, INCREMENTAL, STREAM]
+# Our own label: events that a bounded stream met after their hour was closed.
+LATE = "Kafka_Late"
 
 # Topic of the event messages, and the mark of an empty warehouse.
 TOPIC = "tracking_events"

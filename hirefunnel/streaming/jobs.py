@@ -7,7 +7,9 @@ Three forms, all safe to replay:
 * deltas: no state store; each trigger's events are aggregated on their own and added to
   the stored totals, once per epoch. The totals belong to one checkpoint: a query with a new
   one would add the log a second time, so it raises. To start over, use a new table.
-* bounded: running totals whose state is dropped a given time after the hour ends.
+* bounded: either of them with a watermark. Running totals drop the state of an hour a given time
+  after its end, and what comes later is left to the batch job; deltas close the hour and put what
+  comes later aside.
 
 A run is named by the query's id, which Spark keeps in the checkpoint, and the epoch. After a
 checkpoint was lost, running totals are recomputed from the log and replace what is stored.
@@ -27,12 +29,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirefunnel.functions.envelope import parse_envelope, to_envelope
 from hirefunnel.operators.enrich import attach
+from hirefunnel.operators.incremental import hour_before
 from hirefunnel.operators.merge import to_state
 from hirefunnel.operators.metrics import hourly_metrics
 from hirefunnel.plans.jobs import enriched_metrics, merge_keys
-from hirefunnel.plans.publish import last_run, upsert
-from hirefunnel.schema import EVENT_KEYS, STREAM
-from hirefunnel.sources import files
+from hirefunnel.plans.publish import upsert
+from hirefunnel.schema import EVENT_KEYS, LATE, STREAM
+from hirefunnel.sources import files, segments
 from hirefunnel.streaming.dimension import Dimension, Reader
 from hirefunnel.workspace import ROCKSDB, STATE_STORE, setting
 
@@ -113,22 +116,47 @@ def start_deltas(
     table: str,
     checkpoint: str,
     key_source: str = "event",
+    watermark: str | None = None,
     trigger: dict = TRIGGER,
     updated_at: Column | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Totals of each trigger's events only, added to the table once per epoch."""
+    """Totals of each trigger's events only, added to the table once per epoch.
+
+    With `watermark`, an hour is closed that much after its end, by the latest event of the triggers
+    before. Events of closed hours are not lost: they are added up under the writer `schema.LATE`,
+    from the same aggregation, until `merge.with_late` or the batch job puts them where they belong.
+    """
     events = parse_envelope(messages)
     run_id, dimension = _run_ids(checkpoint), Dimension(job)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        this = run_id(batch, epoch)
-        last = last_run(batch.sparkSession, table, STREAM)
-        if last and last.split("#")[0] != this.split("#")[0]:
-            raise ValueError(f"{table} holds totals of another query: {last}, not of {this}")
-        dim = dimension.current(batch.sparkSession)
-        rows = enriched_metrics(batch, dim, key_source, exact=True)
-        upsert(to_state(rows, STREAM, updated_at), table, STREAM, this, "accumulate")
+        spark, this = batch.sparkSession, run_id(batch, epoch)
+        last = segments.version(spark, table, STREAM)
+        if last and last.run_id.split("#")[0] != this.split("#")[0]:
+            raise ValueError(f"{table} holds totals of another query: {last.run_id}, not of {this}")
+        dim = dimension.current(spark)
+        if watermark is None:
+            rows = enriched_metrics(batch, dim, key_source, exact=True)
+            upsert(to_state(rows, STREAM, updated_at), table, STREAM, this, "accumulate")
+            return
+        groups = enriched_metrics(batch, dim, key_source, exact=True, latest=True).persist()
+        try:
+            mark = groups.agg(F.max("latest").cast("string")).first()[0]
+            closed = F.lit(False)
+            if last and last.mark:
+                # Hours that ended at least `watermark` before the mark.
+                until = hour_before(spark, last.mark, watermark)
+                closed = F.coalesce(segments.before_hour(until) & F.col("dates").isNotNull(), F.lit(False))
+            # The late ones first: the stream's version is what says that the epoch has happened, and
+            # its mark decides again in the same way if the epoch is repeated.
+            late = to_state(groups.where(closed), LATE, updated_at)
+            upsert(late, table, LATE, this, "accumulate")
+            rows = to_state(groups.where(~closed), STREAM, updated_at)
+            latest = max(filter(None, (mark, last.mark if last else None)), default=None)
+            upsert(rows, table, STREAM, this, "accumulate", mark=latest)
+        finally:
+            groups.unpersist()
 
     return _start(events, sink, checkpoint, "append", trigger, name)
 

@@ -280,3 +280,52 @@ def test_a_lost_message_shows_in_the_counts(spark, folder, dim):
     run_batch(log, dim, f"{folder}/t", uuid_col=None)
     counted = {r.layer: r.n for r in reconcile.recorded_counts(spark, sent, f"{folder}/t").collect()}
     assert counted == {"broker": 4, "stream": 3, "warehouse": 3, "quarantine": 1}
+
+
+def test_late_rows_are_put_aside_and_none_is_lost(spark, topic, dim, folder):
+    from hirefunnel.operators import merge
+    from hirefunnel.schema import LATE
+    from hirefunnel.sources import segments
+
+    batches = [
+        [event("2024-01-01 08:10:00"), event("2024-01-01 12:30:00"), event("bad")],
+        [event("2024-01-01 10:59:59"), event("2024-01-01 11:00:00"), event("2024-01-01 13:00:00")],
+        [event("2024-01-01 11:30:00"), event("2024-01-01 12:00:00"), event("2024-01-01 08:20:00"), event("bad")],
+    ]
+    for rows in batches:
+        topic.send(*rows)
+    run(streaming.start_deltas, topic, dim, folder, watermark="1 hour")
+    state, late = (segments.read_state(spark, f"{folder}/t", w) for w in (STREAM, LATE))
+    # Hours up to 10 are closed after the first trigger, hour 11 after the second.
+    assert {r.hours: r.clicks for r in state.collect()} == {8: 1, 11: 1, 12: 2, 13: 1, None: 2}
+    assert {r.hours: r.clicks for r in late.collect()} == {8: 1, 10: 1, 11: 1}
+    both = merge.served(merge.with_late(state, late, STREAM))
+    log = [row for rows in batches for row in rows]
+    want = fx.enriched_metrics(events(spark, *log), dim, exact=True)
+    want = merge.served(merge.to_state(want, STREAM))
+    assert stored(both) == stored(want)
+
+
+@pytest.mark.parametrize("lost_at", [0, 1])
+def test_epoch_with_late_rows_lost_between_its_writers(spark, topic, dim, folder, monkeypatch, lost_at):
+    from hirefunnel.schema import LATE
+    from hirefunnel.sources import segments
+
+    topic.send(event("2024-01-01 12:30:00"))
+    run(streaming.start_deltas, topic, dim, folder, watermark="1 hour")
+    topic.send(event("2024-01-01 08:00:00"), event("2024-01-01 12:40:00"))
+    real, calls = publish._publish, []
+
+    def lost(*args):
+        calls.append(args)
+        if len(calls) > lost_at:
+            raise RuntimeError("driver lost")
+        real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_publish", lost)
+        with pytest.raises(Exception, match="driver lost"):
+            run(streaming.start_deltas, topic, dim, folder, watermark="1 hour")
+    run(streaming.start_deltas, topic, dim, folder, watermark="1 hour")
+    found = {w: {r.hours: r.clicks for r in segments.read_state(spark, f"{folder}/t", w).collect()} for w in (STREAM, LATE)}
+    assert found == {STREAM: {12: 2}, LATE: {8: 1}}
