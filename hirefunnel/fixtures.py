@@ -1,7 +1,8 @@
 """The supplied benchmark tables seen as event log and job dimension.
 
 `events` plays the tracking log, `customer` with `nation` the job table. Every row of
-them is used; ids are folded to few values so that hours hold several events.
+them is used. Half the events belong to five busy jobs, so that hours hold several events of a
+job; the others keep their ids, which reach over as much of the job table as the log knows.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def as_tracking(events: DataFrame) -> DataFrame:
     columns = {
         "create_time": timestamp_to_timeuuid(F.col("ts")),
         "ts": F.col("ts"),
-        "job_id": (F.col("user_id") % 5).cast("int"),
+        "job_id": F.when(parity == 0, F.col("user_id") % 5).otherwise(F.col("user_id")).cast("int"),
         "custom_track": kind,
         "bid": F.when(k % 13 != 0, F.col("value")),
         "publisher_id": F.when(k % 11 != 0, parity),
@@ -84,6 +85,15 @@ def epochs(spark: SparkSession, events: DataFrame, path: str, n: int = 5) -> Dat
     return read_files(spark, path, "key string, value string", maxFilesPerTrigger="1")
 
 
+def epochs_in_order(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
+    """The log as three micro-batches of messages, the oldest events first. Two of them share an
+    hour, which no watermark of an hour or more has closed."""
+    ts = F.col("ts")
+    for part in (ts < EARLY, (ts >= EARLY) & (ts < SPLIT), ts >= SPLIT):
+        messages = epochs(spark, events.where(part), path, 1)
+    return messages
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 

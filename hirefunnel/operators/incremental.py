@@ -73,10 +73,14 @@ def touched_hours(
     return newer_than(events, F.date_trunc("hour", mark), column, day_column=day_column)
 
 
-def stamp_data_time(rows: DataFrame, events: DataFrame, column: str = "ts") -> DataFrame:
-    """`updated_at` = the latest event time of the input, as a scalar subquery."""
-    latest = events.agg(F.max(column).cast("timestamp").alias("mark"))
-    return rows.withColumn("updated_at", latest.scalar())
+def stamp_data_time(rows: DataFrame, latest: str = "latest") -> DataFrame:
+    """`updated_at` = the latest event time of the input, as a scalar subquery.
+
+    `rows` are groups with the latest time of each (`hourly_metrics(latest=True)`). They are read
+    twice, so they should be stored rows; the log they were made from is not read again.
+    """
+    mark = rows.agg(F.max(latest).cast("timestamp").alias("mark"))
+    return rows.drop(latest).withColumn("updated_at", mark.scalar())
 
 
 def hour_before(spark: SparkSession, mark: str, lookback: str | None = None) -> str:

@@ -169,8 +169,9 @@ def incremental_recompute(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def data_time_stamp(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fx.tracking(spark, sf)
-    return incremental.stamp_data_time(metrics.hourly_metrics(rows), rows)
+    rows, path = metrics.hourly_metrics(fx.tracking(spark, sf), latest=True), scratch(spark, "stamped")
+    rows.write.parquet(path)
+    return incremental.stamp_data_time(spark.read.schema(rows.schema).parquet(path))
 
 
 # --- merges and whole jobs -----------------------------------------------------------
@@ -289,8 +290,12 @@ def incremental_job(spark: SparkSession, sf: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------------
 
 def _stream(spark: SparkSession, sf: str, start, name: str, **options) -> DataFrame:
-    folder = scratch(spark, name)
-    messages = envelope.to_envelope(fx.tracking_stream(spark, sf))
+    """Three micro-batches: each with events of all times, or with a watermark in order of time."""
+    folder, rows = scratch(spark, name), fx.tracking(spark, sf)
+    if "watermark" in options:
+        messages = fx.epochs_in_order(spark, rows, f"{folder}/topic")
+    else:
+        messages = fx.epochs(spark, rows, f"{folder}/topic", 3)
     query = start(
         messages,
         fx.job(spark, sf),

@@ -18,7 +18,7 @@ _UUID = (
 _BASE = f"""
 WITH tracking AS (
   SELECT {_UUID} AS create_time, ts,
-         cast(user_id % 5 AS integer) AS job_id,
+         cast(CASE WHEN k % 2 = 0 THEN user_id % 5 ELSE user_id END AS integer) AS job_id,
          CASE event_type WHEN 'signup' THEN 'conversion' WHEN 'purchase' THEN 'qualified'
                          WHEN 'error' THEN 'unqualified' ELSE event_type END AS custom_track,
          CASE WHEN k % 13 <> 0 THEN value END AS bid,

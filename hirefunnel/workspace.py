@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +22,17 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def configure(spark: SparkSession) -> SparkSession:
+#: Where scratch folders go if the cluster names no shared folder.
+SCRATCH_DIR = "hirefunnel.scratch.dir"
+
+
+def configure(spark: SparkSession, scratch_dir: str | None = None) -> SparkSession:
+    """Session settings. `scratch_dir` is a folder that all executors share; it is needed where
+    `spark.checkpoint.dir` is not set, and that setting goes first."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if scratch_dir:
+        spark.conf.set(SCRATCH_DIR, scratch_dir)
     return spark
 
 
@@ -42,14 +51,21 @@ def setting(spark: SparkSession, key: str, value: str):
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the cluster names in spark.checkpoint.dir.
+    """A new folder below the shared folder the cluster names in spark.checkpoint.dir, or else below
+    the `scratch_dir` of `configure`.
 
-    A machine-local folder is taken only where that setting is absent and Spark
-    itself runs on this one machine.
+    A machine-local folder is taken only where both are absent and all of Spark runs in this
+    one process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_DIR, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="hirefunnel-")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="hirefunnel-")

@@ -37,6 +37,12 @@ def test_metrics_take_one_scan_and_one_shuffle(spark):
         assert plan.count("partial_sum") == 1
 
 
+def test_data_time_comes_from_the_groups_and_not_from_a_second_scan(spark):
+    plan = plan_of(contract.queries()["data_time_stamp"](spark, SF))
+    assert "events.parquet" not in plan
+    assert plan.count("FileScan") == 2
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(metrics.hourly_metrics(fx.tracking(spark, SF)))
     assert "event_id" not in plan[plan.index("ReadSchema") :]
