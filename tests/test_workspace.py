@@ -2,29 +2,39 @@
 
 import pytest
 
-from hirefunnel.workspace import SCRATCH_DIR, configure, scratch, setting
+from hirefunnel.workspace import configure, scratch
 
 
-def test_scratch_goes_below_the_named_folder(spark, folder):
-    assert spark.conf.get("spark.checkpoint.dir", None) is None
-    try:
-        configure(spark, f"{folder}/")
-        made = [scratch(spark, "rows") for _ in range(2)]
-        assert all(m.startswith(f"{folder}/rows-") for m in made)
-        assert made[0] != made[1]
-        with setting(spark, "spark.checkpoint.dir", "/shared"):
-            assert scratch(spark, "rows").startswith("/shared/rows-")
-    finally:
-        spark.conf.unset(SCRATCH_DIR)
+class Session:
+    """The settings of a session, which a running one does not let go of."""
 
+    def __init__(self, **settings):
+        self.values = {f"spark.{k}": v for k, v in settings.items()}
+        self.conf = self
 
-class OnCluster:
-    class conf:
-        @staticmethod
-        def get(key, default):
-            return {"spark.master": "local-cluster[2,1,1024]"}.get(key, default)
+    def get(self, key, default):
+        return self.values.get(key, default)
 
+    def set(self, key, value):
+        self.values[key] = value
 
-def test_no_machine_local_folder_where_executors_are_apart():
+
+def test_the_named_folder_goes_below_the_shared_one():
+    session = configure(Session(master="spark://host:1"), "hdfs://host/scratch/")
+    made = [scratch(session, "rows") for _ in range(2)]
+    assert all(m.startswith("hdfs://host/scratch/rows-") for m in made)
+    assert made[0] != made[1]
+    session.set("spark.checkpoint.dir", "hdfs://host/shared")
+    assert scratch(session, "rows").startswith("hdfs://host/shared/rows-")
+
+
+def test_one_folder_of_its_own_for_a_single_process():
+    first, second = (scratch(Session(master="local[4]"), "rows") for _ in range(2))
+    assert first != second
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "yarn", ""])
+def test_no_machine_local_folder_where_executors_are_apart(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch(OnCluster, "rows")
+        scratch(Session(master=master), "rows")
