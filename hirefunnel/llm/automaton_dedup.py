@@ -13,8 +13,10 @@ say how long the match that ends at each word is, and the state of its last `len
 these occur. What is shipped is a shard with the texts that can match it, in place of a broadcast
 whose size would grow with the corpus.
 
-Equal contexts are counted together before: within a batch, where they need no exchange, and within
-a gram. Where a gram has one context only, its count decides and there is nothing to match.
+Equal contexts enter an automaton once, with the number of their places as weight, so a passage
+that a third of all texts share is streamed once per batch. The automaton of a batch's contexts with
+several places judges all their places but the first, which need no exchange; the first goes with
+the weight of all to the automaton of its gram. A gram with a single place has nothing to match.
 
 Null texts have no words. Texts shorter than `length` lose nothing. Rows that share an id are separate
 texts, and copies of each other if equal; null ids as well. Empty table: no rows. Other columns stay
@@ -24,6 +26,7 @@ unread.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,45 +141,35 @@ class Automaton:
         return out
 
 
-def group_spans(
-    groups: list[dict[bytes, list[tuple[int, int, int]]]],
-    many: set[bytes],
-    length: int,
-    shard_words: int = SHARD_WORDS,
-) -> Iterator[tuple[int, int, int]]:
-    """key, start, stop of removed words, from the contexts of each gram with their places.
+def repeated_runs(
+    groups: list[list[tuple[bytes, int]]], length: int, shard_words: int = SHARD_WORDS
+) -> Iterator[list[tuple[int, int]]]:
+    """First and last window of the repeated runs of each context, in order.
 
-    `many` has the contexts that a batch found more than once.
+    A group has the contexts that can match each other, each with the number of its places; it is
+    never in two shards.
     """
-    shard: list[tuple[list[int], int, list[tuple[int, int, int]]]] = []
+    shard: list[tuple[list[int], int]] = []
     words = 0
 
-    def flush() -> Iterator[tuple[int, int, int]]:
+    def flush() -> Iterator[list[tuple[int, int]]]:
         automaton = Automaton()
-        for sequence, weight, _ in shard:
+        for sequence, weight in shard:
             automaton.add(sequence, weight)
         automaton.counted()
-        for sequence, _, places in shard:
-            for a, b in runs(automaton.repeated(sequence, length)):
-                for key, start, _ in places:
-                    yield key, start + a, start + b + length
+        for sequence, _ in shard:
+            yield runs(automaton.repeated(sequence, length))
 
     ids: dict[bytes, int] = {}
     for group in groups:
-        mixed = len(group) > 1
-        if mixed and words and words + sum(c.count(b" ") + 1 for c in group) > shard_words:
+        if words and words + sum(c.count(b" ") + 1 for c, _ in group) > shard_words:
             yield from flush()
             shard, words, ids = [], 0, {}
-        for context, places in group.items():
-            again = len(places) > 1 or context in many
-            if again:
-                yield from places
-            if mixed:
-                sequence = [ids.setdefault(w, len(ids)) for w in context.split(b" ")]
-                shard.append((sequence, 1 + again, [] if again else places))
-                words += len(sequence)
-    if shard:
-        yield from flush()
+        for context, weight in group:
+            sequence = [ids.setdefault(w, len(ids)) for w in context.split(b" ")]
+            shard.append((sequence, weight))
+            words += len(sequence)
+    yield from flush()
 
 
 def removed_spans(
@@ -191,7 +184,7 @@ def removed_spans(
     texts = keyed_texts(rows, id_col, text_col)
     found = stored(repeated_anchors(texts, WordSymbols(), length, gram), "automaton-anchors")
     tasks = exchange_partitions(found)
-    schema = "part long, context binary, many boolean, key long, start long, stop long"
+    schema = "part long, context binary, n long, key long, start long, stop long"
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,17 +196,24 @@ def removed_spans(
                 stop = last + length
                 name = group, b" ".join(words[k][first:stop])
                 folded.setdefault(name, []).append((key, first, stop))
-            again = [place for places in folded.values() if len(places) > 1 for place in places]
-            n, m = len(folded), len(again)
-            rows = [places[0] for places in folded.values()] + again
+            several = [(name, places) for name, places in folded.items() if len(places) > 1]
+            judged = repeated_runs([[(c, len(places))] for (_, c), places in several], length)
+            done = [
+                (key, start + a, start + b + length)
+                for (_, places), spans in zip(several, judged, strict=True)
+                for a, b in spans
+                for key, start, _ in places[1:]
+            ]
+            rows = [places[0] for places in folded.values()] + done
+            m = len(done)
             columns = [
-                pa.array([g for g, _ in folded] + [key for key, _, _ in again], pa.int64()),
+                pa.array([g for g, _ in folded] + [key for key, _, _ in done], pa.int64()),
                 pa.array([c for _, c in folded] + [None] * m, pa.binary()),
-                pa.array([len(p) > 1 for p in folded.values()] + [False] * m, pa.bool_()),
+                pa.array([len(places) for places in folded.values()] + [0] * m, pa.int64()),
                 *[pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ((),) * 3)],
             ]
             yield pa.RecordBatch.from_arrays(
-                columns, names=["part", "context", "many", "key", "start", "stop"]
+                columns, names=["part", "context", "n", "key", "start", "stop"]
             )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,14 +221,27 @@ def removed_spans(
         for table, _ in whole_groups(batches, ["part"], 1 << 40):
             done = pc.is_null(table.column("context"))
             yield from table.filter(done).select(["key", "start", "stop"]).to_batches()
-            part, context, many, key, start, stop = (
+            part, context, n, key, start, _ = (
                 c.to_pylist() for c in table.filter(pc.invert(done)).columns
             )
-            groups: dict[int, dict[bytes, list[tuple[int, int, int]]]] = {}
-            for p, c, *place in zip(part, context, key, start, stop, strict=True):
+            groups: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
+            weights: Counter[tuple[int, bytes]] = Counter()
+            for p, c, weight, *place in zip(part, context, n, key, start, strict=True):
                 groups.setdefault(p, {}).setdefault(c, []).append(tuple(place))
-            seen = {c for c, m in zip(context, many, strict=True) if m}
-            spans = list(group_spans(list(groups.values()), seen, length))
+                weights[p, c] += weight
+            shared = {
+                p: group
+                for p, group in groups.items()
+                if len(group) > 1 or any(weights[p, c] > 1 for c in group)
+            }
+            judged = repeated_runs([[(c, weights[p, c]) for c in group] for p, group in shared.items()], length)
+            members = (places for group in shared.values() for places in group.values())
+            spans = [
+                (key, start + a, start + b + length)
+                for places, repeated in zip(members, judged, strict=True)
+                for a, b in repeated
+                for key, start in places
+            ]
             columns = [pa.array(c, pa.int64()) for c in (zip(*spans, strict=True) if spans else ((),) * 3)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "start", "stop"])
 

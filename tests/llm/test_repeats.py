@@ -1,5 +1,7 @@
 """Suffix dedup and substring dedup, and the search for repeated windows that they share."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -119,3 +121,26 @@ def test_repeated_rows(spark):
 def test_empty(spark):
     assert suffix_dedup.digests(empty(spark)).collect() == []
     assert automaton_dedup.digests(empty(spark)).collect() == []
+
+
+@given(st.lists(st.lists(st.tuples(st.lists(st.integers(0, 2), min_size=1, max_size=9), st.integers(1, 3)), max_size=3), max_size=4))
+def test_runs_of_a_group_follow_from_its_weights_alone(groups):
+    length = 3
+    # Words of different groups differ, as windows of different grams do.
+    named = [
+        list({b" ".join(b"%d.%d" % (g, w) for w in c): n for c, n in group}.items())
+        for g, group in enumerate(groups)
+    ]
+    for shard_words in (1, 1000):
+        got = list(automaton_dedup.repeated_runs(named, length, shard_words))
+        want = []
+        for group in named:
+            words = [(c.split(b" "), n) for c, n in group]
+            count = Counter()
+            for c, n in words:
+                for p in range(len(c) - length + 1):
+                    count[tuple(c[p : p + length])] += n
+            for c, _ in words:
+                flags = [count[tuple(c[p : p + length])] > 1 for p in range(len(c) - length + 1)]
+                want.append(repeats.runs(np.array(flags, bool)))
+        assert got == want
