@@ -123,7 +123,10 @@ def test_empty(spark):
     assert automaton_dedup.digests(empty(spark)).collect() == []
 
 
-@given(st.lists(st.lists(st.tuples(st.lists(st.integers(0, 2), min_size=1, max_size=9), st.integers(1, 3)), max_size=3), max_size=4))
+CONTEXT = st.tuples(st.lists(st.integers(0, 2), min_size=1, max_size=9), st.integers(1, 3))
+
+
+@given(st.lists(st.lists(CONTEXT, max_size=3), max_size=4))
 def test_runs_of_a_group_follow_from_its_weights_alone(groups):
     length = 3
     # Words of different groups differ, as windows of different grams do.
