@@ -6,8 +6,8 @@ Texts are equal when their bytes are, after lower-casing A-Z; a null text is an
    each group of equal texts is folded into one row. A text that a third of all rows share
    leaves a batch once, so no later group holds more rows than there are batches.
 2. The folded texts are dealt out by their leading bytes. A prefix that holds more than
-   `limit` bytes is lengthened, level by level and without a last level, until it holds less or
-   has one text left. A row is known by the number of its heavy prefix and the next slice of its
+   `limit` bytes or `most` rows is lengthened, level by level and without a last level, until it
+   holds less or has one text left. A row is known by the number of its heavy prefix and the next slice of its
    text, so no key repeats the bytes of earlier levels.
 3. Heavy prefixes with one text left are folded by their numbers, wherever their rows are. Each
    partition of the others is split by successive bytes again; what stays together to the end of
@@ -35,6 +35,8 @@ from hirefunnel.llm.common import free_name, partitions, stored, texts_of, witho
 #: Length of the prefixes that texts are dealt out by at first; each level makes them LONGER times as long.
 FIRST, LONGER = 8, 4
 MOST_BYTES = 2**31 - 1
+#: Bytes and rows of text that one prefix brings to a task.
+LIMIT, MOST = 32 << 20, 4096
 NULL_ID = -(2**63)
 BROADCAST_BYTES = 16 << 20
 
@@ -64,8 +66,9 @@ def exact_groups(
     rows: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    limit: int = 32 << 20,
+    limit: int = LIMIT,
     key_col: str | None = None,
+    most: int = MOST,
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
@@ -80,7 +83,7 @@ def exact_groups(
         _fold, "local long, id long, key long, leads boolean, size long, body binary"
     )
     folded = stored(folded, "exact-folded")
-    final = _final(folded.where("body IS NOT NULL").drop("leads", "key"), limit)
+    final = _final(folded.where("body IS NOT NULL").drop("leads", "key"), limit, most)
     members = folded.where("body IS NULL").select("local", "id", "key", "leads")
     return members.join(final, "local").select(
         _nullable("id").alias(id_col),
@@ -137,15 +140,15 @@ def _nullable(name: str) -> Column:
     return F.when(F.col(name) != NULL_ID, F.col(name))
 
 
-def _final(groups: DataFrame, limit: int) -> DataFrame:
+def _final(groups: DataFrame, limit: int, most: int) -> DataFrame:
     """What `_resolved` gives, for every folded text."""
     total = groups.agg(F.sum(F.length("body"))).first()[0] or 0
-    dealt, ones = _dealt(groups, limit)
+    dealt, ones = _dealt(groups, limit, most)
     parts = max(partitions(groups), 2 * total // limit)
     rest = _resolved(dealt.where("NOT one").repartition(parts, "level", "path", _slice()))
     if not ones:
         return rest
-    # At most total / limit texts, with copies in many batches: partial sums fold them in each task.
+    # At most total / limit texts and one in `most` rows, with copies in many batches: partial sums fold them in each task.
     copies = dealt.where("one")
     found = copies.groupBy("path").agg(
         F.max(F.struct("id", "local")).alias("best"),
@@ -171,11 +174,11 @@ def _slice() -> Column:
     return F.expr("substring(body, start + 1, width)")
 
 
-def _dealt(groups: DataFrame, limit: int) -> tuple[DataFrame, bool]:
+def _dealt(groups: DataFrame, limit: int, most: int) -> tuple[DataFrame, bool]:
     """Folded texts with the prefix that each is dealt out by, and whether any are marked `one`.
 
     A prefix is the last slice of it and `path`, the number of the heavy prefix of the level before.
-    It holds at most `limit` bytes or one row; or one text in many rows, marked `one`.
+    It holds one row, or at most `limit` bytes and `most` rows; or one text in many rows, marked `one`.
     """
     dealt = groups.selectExpr("*", "0L path", "0 level", "0 start", f"{FIRST} width", "false one")
     level, ones = 0, False
@@ -194,7 +197,8 @@ def _dealt(groups: DataFrame, limit: int) -> tuple[DataFrame, bool]:
         end = F.col("start").cast("long") + F.col("width")
         # Rows that seem to be equal are compared whole at the next level. `alike` decides no more.
         longer = F.when(F.col("alike"), F.col("longest") - end).otherwise((LONGER - 1) * end)
-        heavy = held.where((F.col("bytes") > limit) & (F.col("n") > 1)).select(
+        too_much = (F.col("bytes") > limit) | (F.col("n") > most)
+        heavy = held.where(too_much & (F.col("n") > 1)).select(
             F.col("path").alias("old_path"),
             F.lit(level).alias("old_level"),
             "slice",
@@ -204,7 +208,7 @@ def _dealt(groups: DataFrame, limit: int) -> tuple[DataFrame, bool]:
             F.greatest(F.least(longer, MOST_BYTES - end), F.lit(0)).cast("int").alias("new_width"),
         )
         heavy = stored(heavy, "exact-heavy")
-        # At most total / limit prefixes; their size decides how they are joined.
+        # At most total / limit prefixes and one in `most` rows; their size decides how they are joined.
         n, size, ended = heavy.agg(F.count("*"), F.sum(F.length("slice")), F.max("ended")).first()
         if not n:
             return dealt, ones

@@ -67,6 +67,21 @@ def test_no_last_level_of_prefixes(spark, monkeypatch):
     assert most < sum(map(len, texts)) / 4
 
 
+def test_short_texts_with_one_beginning_are_spread(spark, monkeypatch):
+    # Far below the limit of bytes; 50 rows are one text, each in a batch of its own.
+    texts = [f"greetings {k}" for k in range(400)] + ["greetings 7"] * 50 + ["greetings"] * 3
+    rows = table(spark, texts).repartition(60)
+    held, resolved = [], exact_dedup._resolved
+
+    def spy(dealt):
+        held.extend(r["count"] for r in dealt.groupBy("level", "path", exact_dedup._slice()).count().collect())
+        return resolved(dealt)
+
+    monkeypatch.setattr(exact_dedup, "_resolved", spy)
+    assert listed(exact_dedup.exact_groups(rows, most=20)) == expected(list(enumerate(texts)))
+    assert 0 < max(held) <= 20
+
+
 def test_copies_of_one_long_text_do_not_meet_in_a_task(spark, monkeypatch):
     # Each row is a batch of its own, so that copies only meet later.
     texts = ["long text " * 3000] * 40 + ["Long text " * 3000 + "more"] * 10 + ["short"] * 3
