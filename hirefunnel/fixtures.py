@@ -7,6 +7,8 @@ job; the others keep their ids, which reach over as much of the job table as the
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +20,7 @@ from hirefunnel.operators.merge import to_fact, union_sources
 from hirefunnel.plans.jobs import enriched_metrics
 from hirefunnel.operators.enrich import prepare_dimension
 from hirefunnel.schema import BATCH, STREAM, TRACKING
+from hirefunnel.sources import files
 from hirefunnel.sources.streams import read_files
 
 KIND_OF_TYPE = {"signup": "conversion", "purchase": "qualified", "error": "unqualified"}
@@ -28,6 +31,10 @@ EARLY = "2024-01-08 00:00:00"
 BATCH_STAMP = "2024-02-01 00:00:00"
 STREAM_STAMP = "2024-01-20 13:00:00"
 
+MESSAGES = "key string, value string"
+# Bytes of the log whose messages make one file.
+FILE_BYTES = 4 << 20
+
 
 def stamp(text: str):
     return F.lit(text).cast("timestamp")
@@ -79,10 +86,25 @@ def dated_ahead(events: DataFrame) -> DataFrame:
 
 
 def epochs(spark: SparkSession, events: DataFrame, path: str, n: int = 5) -> DataFrame:
-    """The log sent to a folder of messages in `n` files more, each with events of all times, and the
-    stream of these messages, a file per micro-batch."""
-    to_envelope(events).repartition(n, "value").write.mode("append").parquet(path)
-    return read_files(spark, path, "key string, value string", maxFilesPerTrigger="1")
+    """The log sent to a folder of messages in `n` lots more, each with events of all times, and the
+    stream of these messages, a lot per micro-batch. A lot is one file; of a larger log it is several
+    files, so that as many tasks write and read it."""
+    each, before = _files_of_lot(spark, events, n), _parts(spark, path)
+    to_envelope(events).repartition(n * each, "value").write.mode("append").parquet(path)
+    if each > 1:
+        # Lots are told apart by the number of their files, and no message means no file.
+        for _ in range(before + n * each - _parts(spark, path)):
+            spark.createDataFrame([], MESSAGES).write.mode("append").parquet(path)
+    return read_files(spark, path, MESSAGES, maxFilesPerTrigger=str(each))
+
+
+def _files_of_lot(spark: SparkSession, events: DataFrame, n: int) -> int:
+    size = sum(length for _, length, _ in files.fingerprint(spark, events.inputFiles()))
+    return max(1, math.ceil(size / (n * FILE_BYTES)))
+
+
+def _parts(spark: SparkSession, path: str) -> int:
+    return sum(name.startswith("part-") for name in files.names(spark, path))
 
 
 def epochs_in_order(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:

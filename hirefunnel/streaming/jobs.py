@@ -37,7 +37,7 @@ from hirefunnel.plans.publish import upsert
 from hirefunnel.schema import EVENT_KEYS, LATE, STREAM
 from hirefunnel.sources import files, segments
 from hirefunnel.streaming.dimension import Dimension, Reader
-from hirefunnel.workspace import ROCKSDB, STATE_STORE, setting
+from hirefunnel.workspace import ADAPTIVE, ROCKSDB, STATE_STORE, setting
 
 # Fixed value: how often the stream looks for new messages.
 TRIGGER = {"processingTime": "30 seconds"}
@@ -72,7 +72,16 @@ def _start(
     trigger: dict,
     name: str | None,
 ) -> StreamingQuery:
-    writer = rows.writeStream.outputMode(mode).foreachBatch(sink).trigger(**trigger)
+    wanted = rows.sparkSession.conf.get(ADAPTIVE)
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        # Spark turns adaptive execution off for a stateful stream. Its own steps are planned by now;
+        # without it the writes of the sink would not be sized by date, and each state partition would
+        # leave a file in each date.
+        with setting(batch.sparkSession, ADAPTIVE, wanted):
+            sink(batch, epoch)
+
+    writer = rows.writeStream.outputMode(mode).foreachBatch(publish).trigger(**trigger)
     if name:
         writer = writer.queryName(name)
     return writer.option("checkpointLocation", checkpoint).start()

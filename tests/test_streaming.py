@@ -329,3 +329,52 @@ def test_epoch_with_late_rows_lost_between_its_writers(spark, topic, dim, folder
     run(streaming.start_deltas, topic, dim, folder, watermark="1 hour")
     found = {w: {r.hours: r.clicks for r in segments.read_state(spark, f"{folder}/t", w).collect()} for w in (STREAM, LATE)}
     assert found == {STREAM: {12: 2}, LATE: {8: 1}}
+
+
+def _log(spark, folder, n=4000):
+    """A stored log over ten days, and what it holds."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * (864_000 // n))
+    rows = spark.range(n).select(at.alias("ts"), (F.col("id") % 7).cast("int").alias("job_id"))
+    rows = rows.withColumns({"custom_track": F.lit("click"), "bid": F.lit(1.0), "publisher_id": F.lit(1)})
+    fields = (F.lit(None).cast("string").alias(c) for c in ("create_time", "campaign_id", "group_id"))
+    rows.select("*", *fields).write.parquet(f"{folder}/log")
+    return spark.read.parquet(f"{folder}/log")
+
+
+def _micro_batches(spark, messages, folder):
+    """Messages, files that held them, first and last time of each micro-batch."""
+    seen = []
+
+    def sink(batch, epoch):
+        rows = batch.select(F.get_json_object("value", "$.ts").alias("ts"), F.input_file_name().alias("f"))
+        seen.append(tuple(rows.agg(F.count("*"), F.count_distinct("f"), F.min("ts"), F.max("ts")).first()))
+
+    query = messages.writeStream.foreachBatch(sink).trigger(**NOW)
+    query.option("checkpointLocation", f"{folder}/seen").start().awaitTermination()
+    return seen
+
+
+def test_a_larger_log_is_sent_in_more_files_and_as_many_micro_batches(spark, folder, monkeypatch):
+    log = _log(spark, folder)
+    monkeypatch.setattr(fx, "FILE_BYTES", 4000, raising=False)
+    for _ in range(2):
+        messages = fx.epochs(spark, log, f"{folder}/topic", 2)
+    seen = _micro_batches(spark, messages, folder)
+    assert len(seen) == 4
+    assert sum(n for n, *_ in seen) == 8000
+    assert all(files > 1 for _, files, *_ in seen)
+
+
+def test_state_partitions_leave_no_file_each_in_every_date(spark, folder):
+    log = _log(spark, folder)
+    query = streaming.start_running_totals(
+        fx.epochs(spark, log, f"{folder}/topic", 1),
+        jobs(spark, (1, "x", "jc", "jg")),
+        f"{folder}/t",
+        f"{folder}/checkpoint",
+        trigger=NOW,
+    )
+    query.awaitTermination()
+    rows = read_fact(spark, f"{folder}/t")
+    assert rows.agg(F.sum("clicks")).first()[0] == 4000
+    assert len(rows.inputFiles()) == 10
