@@ -19,7 +19,7 @@ a context of its own that is dealt out by the hash of the whole window.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -221,9 +221,14 @@ def with_removed(texts: DataFrame, removed: DataFrame) -> DataFrame:
 
 
 def merged_spans(removed: list[dict] | None) -> list[tuple[int, int]]:
+    """Maximal runs of a text's removed list, null if there is none."""
+    return joined((r["start"], r["stop"]) for r in removed or [])
+
+
+def joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs: overlapping and touching spans made one."""
     out: list[tuple[int, int]] = []
-    for start, stop in sorted((r["start"], r["stop"]) for r in removed or []):
+    for start, stop in sorted(spans):
         if out and start <= out[-1][1]:
             out[-1] = out[-1][0], max(out[-1][1], stop)
         else:
@@ -231,6 +236,15 @@ def merged_spans(removed: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
+def spans_by_key(spans: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """key, start, stop of the maximal runs of every key. Repeats in a copied text overlap from anchor
+    to anchor: of a text that is all copy, one row is left."""
+    by_key: dict[int, list[tuple[int, int]]] = {}
+    for key, start, stop in spans:
+        by_key.setdefault(key, []).append((start, stop))
+    return [(key, *span) for key, found in by_key.items() for span in joined(found)]
+
+
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     """First and last place of each run of true values."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))

@@ -16,7 +16,7 @@ at offset a before its anchor is then equal to another one exactly if both are i
 length - a common bytes on the right and a on the left, and the first of a class stays.
 
 Contexts that are equal byte by byte within a batch are folded into the first of them beforehand;
-all strings of the others are repeats.
+all strings of the others are repeats. What a task finds of one text leaves it as maximal runs.
 
 Null texts are empty. Texts shorter than `length` lose nothing. Rows that share an id are separate
 texts, in order of their text; null ids come first. Empty table: no rows. Other columns stay unread.
@@ -40,6 +40,7 @@ from hirefunnel.llm.repeats import (
     keyed_texts,
     merged_spans,
     repeated_anchors,
+    spans_by_key,
     with_removed,
 )
 
@@ -209,28 +210,22 @@ def repeats(suffixes: list[Suffix], shared: list[int], length: int) -> Iterator[
     right_size = np.array([len(s[1]) for s in suffixes])
     by_place = np.lexsort((at, key))
     n = len(suffixes)
-    found, offsets, left_class = [], [], np.empty(n, np.int64)
+    left_class = np.empty(n, np.int64)
+    # By suffix and offset, with an empty column on either side: what repeats an earlier string.
+    again = np.zeros((n, int(left_size.max()) + 3), np.int8)
     for a in range(int(left_size.max()) + 1):
         has = (left_size >= a) & (right_size >= length - a)
         left_class[order] = np.cumsum(new_left | (left < a))
         both = np.cumsum(new | (right < length - a)) * (n + 1) + left_class
         members = by_place[has[by_place]]
         _, first = np.unique(both[members], return_index=True)
-        again = np.ones(len(members), bool)
-        again[first] = False
-        found.append(members[again])
-        offsets.append(np.full(len(found[-1]), a))
-    owner = np.concatenate(found)
-    start = at[owner] - np.concatenate(offsets)
-    sort = np.lexsort((start, owner))
-    owner, start = owner[sort], start[sort]
-    if not len(owner):
-        return
-    cut = np.flatnonzero((np.diff(owner) != 0) | (np.diff(start) != 1))
-    begins, ends = np.concatenate([[0], cut + 1]), np.append(cut, len(owner) - 1)
-    yield from zip(
-        key[owner[begins]].tolist(), start[begins].tolist(), (start[ends] + length).tolist(), strict=True
-    )
+        again[members, a + 1] = 1
+        again[members[first], a + 1] = 0
+    edge = np.diff(again, axis=1)
+    owner, least = np.nonzero(edge == 1)
+    _, beyond = np.nonzero(edge == -1)
+    start, stop = at[owner] - beyond + 1, at[owner] - least + length
+    yield from zip(key[owner].tolist(), start.tolist(), stop.tolist(), strict=True)
 
 
 def removed_spans(
@@ -268,8 +263,9 @@ def removed_spans(
             for name, place in folded.items():
                 parts.setdefault(name[0] % (16 * tasks), []).append(name + place)
             runs = [Run.of(p).encoded() for p in parts.values()]
-            n, m = len(runs), len(again)
-            key, start, stop = zip(*again, strict=True) if again else ((), (), ())
+            spans = spans_by_key(again)
+            n, m = len(runs), len(spans)
+            key, start, stop = zip(*spans, strict=True) if spans else ((), (), ())
             columns = [
                 pa.array([*parts, *[k % (16 * tasks) for k in key]], pa.int64()),
                 pa.array(runs + [None] * m, pa.binary()),
@@ -283,7 +279,7 @@ def removed_spans(
             data = batch.column(1)
             runs += [Run.decoded(x) for x in data.drop_null().to_pylist()]
             yield batch.filter(data.is_null()).select(["key", "start", "stop"])
-        merged = list(repeats(*merge(runs), length)) if runs else []
+        merged = spans_by_key(repeats(*merge(runs), length)) if runs else []
         columns = [pa.array(c, pa.int64()) for c in (zip(*merged, strict=True) if merged else ((),) * 3)]
         yield pa.RecordBatch.from_arrays(columns, names=["key", "start", "stop"])
 
