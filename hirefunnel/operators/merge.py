@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from hirefunnel.operators.metrics import rounded_amounts
 from hirefunnel.schema import COUNTS, FACT, FACT_KEYS, MERGE_KEYS, STATE, SUMS, check_sink_schema
 
+# Most new rows whose keys are sent to every task. The size of their files says little: keys that
+# repeat the same few values take a hundredfold of it in memory.
+BROADCAST_ROWS = 100_000
+
 # Amounts of the fact table have two decimals and are added as such.
 _CENTS = "decimal(28,2)"
 
@@ -88,11 +92,12 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
 def untouched(fact: DataFrame, rows: DataFrame, keys: list[str] = MERGE_KEYS) -> DataFrame:
     """The rows of `fact` whose key is not among `rows`.
 
-    Few `rows` are sent to the fact's partitions; otherwise both are shuffled once by key.
+    Up to `BROADCAST_ROWS` of `rows` are sent to the fact's partitions; otherwise both are shuffled
+    once by key. Of a stored table only the footers are read to count them.
     """
-    return fact.alias("f").join(
-        rows.select(*keys).alias("r"), same_key("f", "r", keys), "left_anti"
-    )
+    few = rows.count() <= BROADCAST_ROWS
+    known = rows.select(*keys).hint("broadcast" if few else "merge")
+    return fact.alias("f").join(known.alias("r"), same_key("f", "r", keys), "left_anti")
 
 
 def replace(fact: DataFrame, rows: DataFrame, keys: list[str] = MERGE_KEYS) -> DataFrame:

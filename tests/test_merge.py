@@ -44,6 +44,24 @@ def test_replace_twice_is_replace_once(spark):
     assert stored(merge.replace(once, new)) == stored(once)
 
 
+def test_many_keys_in_small_files_are_not_sent_to_every_task(spark, folder, capsys):
+    # Repeated values make these files far smaller than what a task would hold of them.
+    one = fact(events(spark, event()), BATCH)
+    many = spark.range(150_000).select(F.col("id").cast("int").alias("job_id"))
+    many.crossJoin(one.drop("job_id")).select(*FACT.fieldNames()).write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    old = fact(events(spark, event(job_id=7), event(job_id=-1), event(job_id=None)), BATCH)
+    merged = merge.replace(old, rows)
+    capsys.readouterr()
+    merged.explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
+    assert merged.count() == 150_002
+    few = merge.replace(rows, old)
+    few.explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+    assert few.count() == 150_002
+
+
 def test_to_fact_default_stamp_is_now(spark):
     rows = merge.to_fact(
         fact(events(spark, event()), BATCH).drop("updated_at", "sources"), BATCH
