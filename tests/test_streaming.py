@@ -365,6 +365,19 @@ def test_a_larger_log_is_sent_in_more_files_and_as_many_micro_batches(spark, fol
     assert all(files > 1 for _, files, *_ in seen)
 
 
+@pytest.mark.parametrize("early", [fx.EARLY, "2024-01-01 00:00:01"])
+def test_a_larger_log_stays_in_order(spark, folder, monkeypatch, early):
+    log = _log(spark, folder)
+    monkeypatch.setattr(fx, "FILE_BYTES", 4000, raising=False)
+    monkeypatch.setattr(fx, "EARLY", early)
+    messages = fx.epochs_in_order(spark, log, f"{folder}/topic")
+    first, second, third = _micro_batches(spark, messages, folder)
+    # All of the log is before SPLIT; the first part may have a single message.
+    assert first[0] + second[0] == 4000 and third[0] == 0
+    assert first[3] < early <= second[2]
+    assert second[1] > 1
+
+
 def test_state_partitions_leave_no_file_each_in_every_date(spark, folder):
     log = _log(spark, folder)
     query = streaming.start_running_totals(
