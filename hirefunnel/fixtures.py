@@ -8,6 +8,7 @@ job; the others keep their ids, which reach over as much of the job table as the
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,12 +86,23 @@ def dated_ahead(events: DataFrame) -> DataFrame:
     return events.where("job_id = 3 AND publisher_id IS NULL").withColumn("ts", ahead)
 
 
-def epochs(spark: SparkSession, events: DataFrame, path: str, n: int = 5) -> DataFrame:
+def epochs(
+    spark: SparkSession,
+    events: DataFrame,
+    path: str,
+    n: int = 5,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The log sent to a folder of messages in `n` lots more, each with events of all times, and the
     stream of these messages, a lot per micro-batch. A lot is one file; of a larger log it is several
-    files, so that as many tasks write and read it."""
+    files, so that as many tasks write and read it. `shape` makes rows of the log from `events`, row
+    by row.
+
+    Stored rows are dealt out, not messages: they are smaller, and however few row groups the log has
+    or however it is ordered, all tasks shape rows and write them as text."""
     each, before = _files_of_lot(spark, events, n), _parts(spark, path)
-    to_envelope(events).repartition(n * each, "value").write.mode("append").parquet(path)
+    dealt = events.repartition(n * each, *events.columns)
+    to_envelope(shape(dealt) if shape else dealt).write.mode("append").parquet(path)
     if each > 1:
         # Lots are told apart by the number of their files, and no message means no file.
         for _ in range(before + n * each - _parts(spark, path)):
@@ -107,12 +119,17 @@ def _parts(spark: SparkSession, path: str) -> int:
     return sum(name.startswith("part-") for name in files.names(spark, path))
 
 
-def epochs_in_order(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
+def epochs_in_order(
+    spark: SparkSession,
+    events: DataFrame,
+    path: str,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The log as three micro-batches of messages, the oldest events first. Two of them share an
     hour, which no watermark of an hour or more has closed."""
     ts = F.col("ts")
     for part in (ts < EARLY, (ts >= EARLY) & (ts < SPLIT), ts >= SPLIT):
-        messages = epochs(spark, events.where(part), path, 1)
+        messages = epochs(spark, events.where(part), path, 1, shape)
     return messages
 
 

@@ -291,11 +291,11 @@ def incremental_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf: str, start, name: str, **options) -> DataFrame:
     """Three micro-batches: each with events of all times, or with a watermark in order of time."""
-    folder, rows = scratch(spark, name), fx.tracking(spark, sf)
+    folder, rows = scratch(spark, name), fx.events(spark, sf)
     if "watermark" in options:
-        messages = fx.epochs_in_order(spark, rows, f"{folder}/topic")
+        messages = fx.epochs_in_order(spark, rows, f"{folder}/topic", fx.as_tracking)
     else:
-        messages = fx.epochs(spark, rows, f"{folder}/topic", 3)
+        messages = fx.epochs(spark, rows, f"{folder}/topic", 3, fx.as_tracking)
     query = start(
         messages,
         fx.job(spark, sf),
@@ -344,10 +344,10 @@ def stream_deltas_fine_bids(spark: SparkSession, sf: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Three micro-batches with a watermark: the newest events, the oldest, and those between. All
     but the first come after their hours were closed."""
-    folder, rows, ts = scratch(spark, "late"), fx.tracking(spark, sf), F.col("ts")
+    folder, rows, ts = scratch(spark, "late"), fx.events(spark, sf), F.col("ts")
     parts = (ts >= fx.SPLIT, ts < fx.EARLY, (ts >= fx.EARLY) & (ts < fx.SPLIT))
     for part in parts:
-        messages = fx.epochs(spark, rows.where(part), f"{folder}/topic", 1)
+        messages = fx.epochs(spark, rows.where(part), f"{folder}/topic", 1, fx.as_tracking)
     query = streaming.start_deltas(
         messages,
         fx.job(spark, sf),
@@ -390,7 +390,7 @@ def stream_epochs_dimension(spark: SparkSession, sf: str) -> DataFrame:
     for dim in (early, job):
         dim.coalesce(1).write.mode("overwrite").parquet(f"{folder}/job")
         query = streaming.start_running_totals(
-            fx.epochs(spark, fx.tracking(spark, sf), f"{folder}/topic", 2),
+            fx.epochs(spark, fx.events(spark, sf), f"{folder}/topic", 2, fx.as_tracking),
             read_job,
             f"{folder}/events",
             f"{folder}/checkpoint",

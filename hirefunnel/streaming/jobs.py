@@ -37,7 +37,7 @@ from hirefunnel.plans.publish import upsert
 from hirefunnel.schema import EVENT_KEYS, LATE, STREAM
 from hirefunnel.sources import files, segments
 from hirefunnel.streaming.dimension import Dimension, Reader
-from hirefunnel.workspace import ADAPTIVE, ROCKSDB, STATE_STORE, setting
+from hirefunnel.workspace import ADAPTIVE, STATE, setting, settings
 
 # Fixed value: how often the stream looks for new messages.
 TRIGGER = {"processingTime": "30 seconds"}
@@ -115,7 +115,7 @@ def start_running_totals(
 
     # State in RocksDB lives on disk with a cache, not on the executors' heap. A query
     # keeps the setting it was started with.
-    with setting(messages.sparkSession, STATE_STORE, ROCKSDB):
+    with settings(messages.sparkSession, STATE):
         return _start(totals, sink, checkpoint, "update", trigger, name)
 
 

@@ -378,6 +378,38 @@ def test_a_larger_log_stays_in_order(spark, folder, monkeypatch, early):
     assert second[1] > 1
 
 
+def test_messages_are_made_in_as_many_tasks_as_write_them(spark, folder, monkeypatch):
+    log = _log(spark, folder).coalesce(1)
+    size = sum(length for _, length, _ in fx.files.fingerprint(spark, log.inputFiles()))
+    monkeypatch.setattr(fx, "FILE_BYTES", size // 4, raising=False)
+    tasks = []
+
+    def shape(rows):
+        tasks.append(rows.select("ts").rdd.getNumPartitions())
+        return rows
+
+    fx.epochs_in_order(spark, log, f"{folder}/topic", shape)
+    assert len(tasks) == 3 and min(tasks) >= 4
+    assert spark.read.schema(fx.MESSAGES).parquet(f"{folder}/topic").count() == 4000
+
+
+def test_a_trigger_saves_the_changes_of_the_state_only(spark, topic, dim, folder):
+    from hirefunnel.sources import files
+
+    for at in ("10:00:00", "10:30:00", "11:00:00"):
+        topic.send(event(f"2024-01-01 {at}"))
+        query = run(streaming.start_running_totals, topic, dim, folder)
+        state = query.recentProgress[0]["stateOperators"][0]
+        assert state["customMetrics"]["rocksdbGetCount"] == state["numRowsUpdated"] == 1
+    assert sum(r.clicks for r in read_fact(spark, f"{folder}/t").collect()) == 3
+    saved = [
+        name
+        for part in range(state["numStateStoreInstances"])
+        for name in files.names(spark, f"{folder}/checkpoint/state/0/{part}")
+    ]
+    assert any(name.endswith(".changelog") for name in saved)
+
+
 def test_state_partitions_leave_no_file_each_in_every_date(spark, folder):
     log = _log(spark, folder)
     query = streaming.start_running_totals(
